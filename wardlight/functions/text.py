@@ -42,24 +42,10 @@ def utc_text(moment: Column) -> Column:
 def fixed_decimals(value: Column, places: int) -> Column:
     """The double as text with ``places`` decimals, rounding its exact binary value and ties to even.
 
-    ``format_string('%.1f')`` rounds the shortest decimal form half up instead, so it turns 8.25 into 8.3 and 8.35
-    into 8.4 where C-style formatting gives 8.2 and 8.3. Scaling loses up to half an ulp; splitting the double in two
-    recovers that error exactly, and it decides the cases that land on a tie.
+    ``format_string('%.1f')`` would round the shortest decimal form half up: 8.25 gives 8.3 and 8.35 gives 8.4 where
+    C-style formatting gives 8.2 and 8.3.
     """
-    scale = F.lit(float(10**places))
-    size = F.abs(value.cast("double"))
-    spread = size * F.lit(134217729.0)  # 2^27 + 1
-    high = spread - (spread - size)
-    low = size - high
-    scaled = size * scale
-    error = (high * scale - scaled) + low * scale
-    below = F.floor(scaled)
-    over_half = (scaled - below) - F.lit(0.5)
-    round_up = (over_half > 0) | ((over_half == 0) & ((error > 0) | ((error == 0) & (below % 2 == 1))))
-    units = below + F.when(round_up, 1).otherwise(0)
-    sign = F.when(value < 0, F.lit("-")).otherwise(F.lit(""))
-    whole, part = F.floor(units / 10**places), units % 10**places
-    return F.format_string(f"%s%d.%0{places}d", sign, whole.cast("bigint"), part.cast("bigint"))
+    return F.call_function("format_number", value.cast("double"), F.lit("0." + "0" * places))
 
 
 def round_decimal(value: Column, places: int) -> Column:

@@ -8,16 +8,17 @@ time line of each key is cut into spans no shorter than the cooldown:
 1. Within a span, every possible way of entering it is reduced to a small table: "if nothing may be emitted before
    ``x``, the span's last emission is ``y``". A chain enters the next span with at most its last emission, so nothing
    else crosses the border.
-2. Per key, these tables are chained in time order, which gives the last emission before each span.
+2. Per key, these tables are chained in time order, which gives the time from which each span may emit.
 3. Every span marks its emissions from that starting point.
 
-Steps 1 and 3 run on (key, span) groups and hold one entry per distinct time. Step 2 holds a few rows per span: a
-number set by the calendar and the length of a cooldown, not by the number of alerts.
+Steps 1 and 3 distribute (key, span) pairs and hold one entry per distinct time; a task handles all its spans in one
+vectorised pass per batch. Step 2 holds a few rows per span: a number set by the calendar and the length of a cooldown,
+not by the number of alerts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -30,20 +31,97 @@ ALERT_KEY = ("level", "metric", "region")
 SPAN_SECONDS = 3600
 
 
-def _next_allowed(times: np.ndarray, cooldown: int) -> np.ndarray:
-    """Index of the alert emitted after each one, or ``len(times)``."""
-    return np.searchsorted(times, times + cooldown, side="left")
+def _span_functions(cooldown: int, span_length: int):
+    """The three steps as functions of pandas frames; times and lengths are in microseconds.
 
+    Everything is nested here, so that Spark sends it to the executors by value.
+    """
+    # spans are laid out one after the other, further apart than an emission can reach
+    distance = 2 * span_length + 1
+    any_time = -(2**62)
+
+    def whole_spans(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+        """Frames of complete (key, span) pairs from sorted batches, with the number of each row's pair."""
+        held = None
+        for batch in batches:
+            frame = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            starts = pair_starts(frame)
+            last_pair = int(np.flatnonzero(starts)[-1]) if len(frame) else 0
+            held = frame.iloc[last_pair:].reset_index(drop=True)
+            if last_pair:
+                yield frame.iloc[:last_pair], np.cumsum(starts[:last_pair]) - 1
+        if held is not None and len(held):
+            yield held, np.zeros(len(held), dtype="int64")
+
+    def pair_starts(frame: pd.DataFrame) -> np.ndarray:
+        keys, spans = pd.factorize(frame["key"])[0], frame["span"].to_numpy()
+        changed = (keys[1:] != keys[:-1]) | (spans[1:] != spans[:-1])
+        return np.append(True, changed) if len(frame) else changed
+
+    def following(places: np.ndarray, pair: np.ndarray) -> np.ndarray:
+        """Row of the next emission after an emission at each row; the row itself if there is none in its span."""
+        rows = np.arange(len(places))
+        after = np.searchsorted(places, places + cooldown, side="left")
+        inside = after < len(places)
+        inside[inside] = pair[after[inside]] == pair[inside]
+        return np.where(inside, after, rows)
+
+    def transitions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame, pair in whole_spans(batches):
+            at, offset = frame["at"].to_numpy(), frame["at"].to_numpy() - frame["span"].to_numpy() * span_length
+            last = following(pair * distance + offset, pair)
+            while not np.array_equal(last[last], last):
+                last = last[last]
+            # an earlier emission cannot block anything later than a cooldown after the span's start, so a chain
+            # enters at a row up to there or at the first row behind
+            early = offset < cooldown
+            previous_early = np.append(True, early[:-1]) | np.append(True, pair[1:] != pair[:-1])
+            entered = early | previous_early
+            # of neighbouring entry rows with the same end, the last one stands for all
+            next_same = np.append((pair[1:] == pair[:-1]) & entered[1:] & (last[1:] == last[:-1]), False)
+            chosen = entered & ~next_same
+            yield pd.DataFrame(
+                {
+                    "key": frame["key"].to_numpy()[chosen],
+                    "span": frame["span"].to_numpy()[chosen],
+                    "not_before": at[chosen],
+                    "last_emitted": at[last[chosen]],
+                }
+            )
 
-def _last_in_chain(following: np.ndarray) -> np.ndarray:
-    """Index at which the chain starting at each alert ends."""
-    count = len(following)
-    last = np.where(following < count, following, np.arange(count))
-    while True:
-        further = last[last]
-        if np.array_equal(further, last):
-            return last
-        last = further
+    def chain(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["span", "not_before"])
+        spans, first_row = np.unique(group["span"].to_numpy(), return_index=True)
+        bounds = np.append(first_row, len(group))
+        not_before, last_emitted = group["not_before"].to_numpy(), group["last_emitted"].to_numpy()
+        allowed_from = np.empty(len(spans), dtype="int64")
+        allowed = any_time
+        for i in range(len(spans)):
+            allowed_from[i] = allowed
+            row = bounds[i] + np.searchsorted(not_before[bounds[i] : bounds[i + 1]], allowed, side="left")
+            if row < bounds[i + 1]:
+                allowed = last_emitted[row] + cooldown
+        return pd.DataFrame({"key": group["key"].iloc[0], "span": spans, "allowed_from": allowed_from})
+
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Each pair starts with the row that carries its ``allowed_from``; alerts follow in time order."""
+        for frame, pair in whole_spans(batches):
+            is_entry = frame["is_entry"].to_numpy()
+            span_start = frame["span"].to_numpy() * span_length
+            reach = np.clip(frame["allowed_from"].to_numpy()[is_entry] - span_start[is_entry], 0, distance - 1)
+            alerts, pair = frame[~is_entry], pair[~is_entry]
+            places = pair * distance + alerts["at"].to_numpy() - span_start[~is_entry]
+            next_row = following(places, pair)
+            rows = np.searchsorted(places, np.arange(len(reach)) * distance + reach, side="left")
+            rows = rows[(rows < len(places)) & (pair[np.minimum(rows, len(places) - 1)] == np.arange(len(reach)))]
+            emitted = np.zeros(len(places), dtype=bool)
+            while len(rows):
+                emitted[rows] = True
+                after = next_row[rows]
+                rows = after[after != rows]
+            yield alerts[emitted][["key", "at", "first"]]
+
+    return transitions, chain, mark
 
 
 def suppress_repeats(
@@ -55,77 +133,36 @@ def suppress_repeats(
 ) -> DataFrame:
     """Add ``status``: EMITTED or SUPPRESSED.
 
-    ``sequence`` orders alerts of one key at one time and must differ between them; the first may be emitted.
+    ``sequence`` (an integer) orders alerts of one key at one time and must differ between them; the first may be
+    emitted.
     """
-    key = list(key)
     cooldown = cooldown_seconds * 1_000_000
     span_length = max(SPAN_SECONDS, cooldown_seconds) * 1_000_000
-    key_fields = [alerts.schema[name] for name in key]
-    key_ddl = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in key_fields)
+    transitions, chain, mark = _span_functions(cooldown, span_length)
 
+    one_key = F.to_json(F.struct(*key))
+    at = F.unix_micros(F.col(time).cast("timestamp"))
     moments = (
-        alerts.select(*key, F.unix_micros(F.col(time).cast("timestamp")).alias("at"), sequence)
-        .groupBy(*key, "at")
-        .agg(F.min(sequence).alias("first"))
-        .withColumn("span", F.floor(F.col("at") / F.lit(span_length)).cast("bigint"))
+        alerts.select(one_key.alias("key"), at.alias("at"), F.col(sequence).cast("bigint").alias("first"))
+        .groupBy("key", "at")
+        .agg(F.min("first").alias("first"))
+        .withColumn("span", F.expr(f"(at - pmod(at, {span_length}L)) div {span_length}L"))
     )
-
-    def transitions(group: pd.DataFrame) -> pd.DataFrame:
-        times = np.sort(group["at"].to_numpy())
-        last = times[_last_in_chain(_next_allowed(times, cooldown))]
-        # an earlier emission cannot block anything later than a cooldown after the span's start
-        span = group["span"].iloc[0]
-        starts = min(len(times), int(np.searchsorted(times, span * span_length + cooldown, side="left")) + 1)
-        times, last = times[:starts], last[:starts]
-        keep = np.append(last[1:] != last[:-1], True)
-        table = pd.DataFrame({"span": span, "not_before": times[keep], "last_emitted": last[keep]})
-        for column in key:
-            table[column] = group[column].iloc[0]
-        return table[[*key, "span", "not_before", "last_emitted"]]
-
-    def chain(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["span", "not_before"])
-        spans, first_row = np.unique(group["span"].to_numpy(), return_index=True)
-        bounds = np.append(first_row, len(group))
-        not_before, last_emitted = group["not_before"].to_numpy(), group["last_emitted"].to_numpy()
-        allowed_from = np.empty(len(spans), dtype="int64")
-        allowed = np.iinfo("int64").min
-        for i in range(len(spans)):
-            allowed_from[i] = allowed
-            row = bounds[i] + np.searchsorted(not_before[bounds[i] : bounds[i + 1]], allowed, side="left")
-            if row < bounds[i + 1]:
-                allowed = last_emitted[row] + cooldown
-        entries = pd.DataFrame({"span": spans, "allowed_from": allowed_from})
-        for column in key:
-            entries[column] = group[column].iloc[0]
-        return entries[[*key, "span", "allowed_from"]]
-
-    def mark(group: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("at")
-        times = group["at"].to_numpy()
-        following = _next_allowed(times, cooldown)
-        emitted = []
-        index = int(np.searchsorted(times, entry["allowed_from"].iloc[0], side="left"))
-        while index < len(times):
-            emitted.append(index)
-            index = int(following[index])
-        return group.iloc[emitted][[*key, "at", "first"]]
-
-    tables = moments.groupBy(*key, "span").applyInPandas(
-        transitions, f"{key_ddl}, span bigint, not_before bigint, last_emitted bigint"
+    tables = (
+        moments.repartition("key", "span")
+        .sortWithinPartitions("key", "span", "at")
+        .mapInPandas(transitions, "key string, span bigint, not_before bigint, last_emitted bigint")
     )
-    entries = tables.groupBy(*key).applyInPandas(chain, f"{key_ddl}, span bigint, allowed_from bigint")
-    first_type = moments.schema["first"].dataType.simpleString()
+    entries = tables.groupBy("key").applyInPandas(chain, "key string, span bigint, allowed_from bigint")
     emitted = (
-        moments.groupBy(*key, "span")
-        .cogroup(entries.groupBy(*key, "span"))
-        .applyInPandas(mark, f"{key_ddl}, at bigint, first {first_type}")
-        .withColumn("emitted", F.lit(True))
-        .withColumnsRenamed({name: f"_{name}" for name in key})
+        moments.selectExpr("*", "0L AS allowed_from", "false AS is_entry")
+        .unionByName(entries.selectExpr("*", "0L AS at", "0L AS first", "true AS is_entry"))
+        .repartition("key", "span")
+        .sortWithinPartitions("key", "span", F.desc("is_entry"), "at")
+        .mapInPandas(mark, "key string, at bigint, first bigint")
+        .withColumnsRenamed({"key": "_key", "at": "_at", "first": "_first"})
     )
-    # one alert per key, time and sequence: the join keys are unique and spread a hot key over all tasks
-    same_alert = (F.unix_micros(F.col(time).cast("timestamp")) == F.col("at")) & (F.col(sequence) == F.col("first"))
-    for name in key:
-        same_alert = same_alert & F.col(name).eqNullSafe(F.col(f"_{name}"))
-    status = F.when(F.col("emitted"), "EMITTED").otherwise("SUPPRESSED")
+    # the join keys identify one alert, so they are unique and spread a hot key over all tasks
+    same_alert = (one_key == F.col("_key")) & (at == F.col("_at")) & (F.col(sequence) == F.col("_first"))
+    status = F.when(F.col("_key").isNotNull(), "EMITTED").otherwise("SUPPRESSED")
     return alerts.join(emitted, same_alert, "left").select(*alerts.columns, status.alias("status"))

@@ -7,7 +7,6 @@ The single result row is then spread into check rows.
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,26 +36,27 @@ DOMAIN_RULES = {
 }
 
 
-def _check(name: str, table: str, status, message, row_count=None, latest=None) -> Column:
-    as_column = lambda value: value if isinstance(value, Column) else F.lit(value)
-    return F.struct(
-        F.lit(name).alias("check_name"),
-        F.lit(table).alias("table_name"),
-        as_column(status).alias("status"),
-        as_column(row_count).cast("bigint").alias("row_count"),
-        as_column(latest).cast("timestamp").alias("latest_timestamp"),
-        as_column(message).alias("message"),
+def _check(name: str, table: str, status: str, message: str, measured: bool = True) -> str:
+    """A check row as SQL text; ``status`` and ``message`` are SQL, ``measured`` adds row count and newest time."""
+    row_count, latest = ("row_count", "latest_timestamp") if measured else ("NULL", "NULL")
+    return (
+        f"named_struct('check_name', '{name}', 'table_name', '{table}', 'status', {status}, "
+        f"'row_count', CAST({row_count} AS BIGINT), 'latest_timestamp', CAST({latest} AS TIMESTAMP), "
+        f"'message', {message})"
     )
 
 
-def _rows(source: DataFrame, checks: list[Column], as_of) -> DataFrame:
-    return source.select(
-        as_of_time(as_of).alias("checked_at"), F.inline(F.array_compact(F.array(*checks)))
-    ).select(*CHECK_COLUMNS)
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _rows(source: DataFrame, checks: list[str], as_of) -> DataFrame:
+    spread = F.expr(f"inline(array_compact(array({', '.join(checks)})))")
+    return source.select(as_of_time(as_of).alias("checked_at"), spread).select(*CHECK_COLUMNS)
 
 
 def null_keys(columns: list[str]) -> Column:
-    return reduce(or_, [F.col(name).isNull() for name in columns])
+    return F.expr(" OR ".join(f"`{name}` IS NULL" for name in columns))
 
 
 def table_stats(df: DataFrame, table: str, key_columns: list[str] | None = None) -> DataFrame:
@@ -72,70 +72,69 @@ def table_stats(df: DataFrame, table: str, key_columns: list[str] | None = None)
     )
 
 
-def _state_checks(table: str, missing_columns: list[str], as_of, stale_hours: int) -> list[Column]:
-    rows, latest = F.col("row_count"), F.col("latest_timestamp")
-    age = age_hours(as_of_time(as_of), latest)
-    hours = fixed_decimals(age, 1)
-    has_rows = rows > 0
+def _state_rows(
+    df: DataFrame, table: str, key_columns: list[str], as_of, stale_hours: int, domain: bool = False
+) -> DataFrame:
+    age = age_hours(as_of_time(as_of), F.col("latest_timestamp"))
+    stats = table_stats(df, table, key_columns).withColumn("age", age).withColumn("hours", fixed_decimals(F.col("age"), 1))
+    missing_columns = [name for name in key_columns if name not in df.columns]
+    threshold = f"h old; threshold is {stale_hours}h"
     checks = [
-        _check("table_exists", table, "PASS", "Table exists", rows, latest),
-        F.when(has_rows, _check("row_count_nonzero", table, "PASS", "Table has data", rows, latest)).otherwise(
-            _check("row_count_nonzero", table, "FAIL", "Table has no rows", rows, latest)
-        ),
-        F.when(
-            has_rows & (age > stale_hours),
-            _check(
-                "freshness",
-                table,
-                "FAIL",
-                F.concat(F.lit("Latest data is "), hours, F.lit(f"h old; threshold is {stale_hours}h")),
-                rows,
-                latest,
-            ),
-        ).when(
-            has_rows,
-            _check(
-                "freshness", table, "PASS", F.concat(F.lit("Latest data is "), hours, F.lit("h old")), rows, latest
-            ),
+        _check("table_exists", table, "'PASS'", "'Table exists'"),
+        _check(
+            "row_count_nonzero",
+            table,
+            "if(row_count = 0, 'FAIL', 'PASS')",
+            "if(row_count = 0, 'Table has no rows', 'Table has data')",
         ),
     ]
+    with_rows = [
+        _check(
+            "freshness",
+            table,
+            f"if(age > {stale_hours}, 'FAIL', 'PASS')",
+            f"concat('Latest data is ', hours, if(age > {stale_hours}, '{threshold}', 'h old'))",
+        )
+    ]
     if missing_columns:
-        message = f"Missing columns: {', '.join(missing_columns)}"
-        return [*checks, F.when(has_rows, _check("required_columns", table, "FAIL", message, rows, latest))]
-    nulls = F.col("null_rows")
-    return [
-        *checks,
-        F.when(has_rows, _check("required_columns", table, "PASS", "Required columns present", rows, latest)),
-        F.when(
-            has_rows & (nulls > 0),
+        message = _quoted(f"Missing columns: {', '.join(missing_columns)}")
+        with_rows.append(_check("required_columns", table, "'FAIL'", message))
+    else:
+        with_rows.append(_check("required_columns", table, "'PASS'", "'Required columns present'"))
+        nulls_found = "concat(null_rows, ' rows have null values in key columns')"
+        with_rows.append(
             _check(
                 "null_key_values",
                 table,
-                "WARN",
-                F.concat(nulls.cast("string"), F.lit(" rows have null values in key columns")),
-                rows,
-                latest,
-            ),
-        ).when(has_rows, _check("null_key_values", table, "PASS", "No null key values", rows, latest)),
-    ]
+                "if(null_rows > 0, 'WARN', 'PASS')",
+                f"if(null_rows > 0, {nulls_found}, 'No null key values')",
+            )
+        )
+    checks += [f"CASE WHEN row_count > 0 THEN {check} END" for check in with_rows]
+    if domain and table in DOMAIN_RULES and not missing_columns:
+        checks.append(_domain_check(table))
+    return _rows(stats, checks, as_of)
 
 
-def _domain_check(table: str) -> Column:
+def _domain_check(table: str) -> str:
     name, _, text = DOMAIN_RULES[table]
-    bad = F.col("bad_rows")
-    status = F.when(bad > 0, "FAIL").otherwise("PASS")
-    return _check(name, table, status, F.concat(bad.cast("string"), F.lit(f" {text}")), bad)
+    return (
+        f"named_struct('check_name', '{name}', 'table_name', '{table}', "
+        f"'status', if(bad_rows > 0, 'FAIL', 'PASS'), 'row_count', bad_rows, "
+        f"'latest_timestamp', CAST(NULL AS TIMESTAMP), 'message', concat(bad_rows, ' {text}'))"
+    )
 
 
 def _absent_table(spark: SparkSession, table: str, as_of) -> DataFrame:
     message = f"Expected table {table} does not exist"
-    return _rows(spark.range(1), [_check("table_exists", table, "FAIL", message)], as_of)
+    return _rows(spark.range(1), [_check("table_exists", table, "'FAIL'", _quoted(message), measured=False)], as_of)
 
 
 def _prediction_check(spark: SparkSession, exists: bool, as_of) -> DataFrame:
     table = "outbreak_predictions"
     status, message = ("PASS", "Outbreak table exists") if exists else ("WARN", f"ML has not created {table} yet")
-    return _rows(spark.range(1), [_check("outbreak_prediction_table", table, status, message)], as_of)
+    check = _check("outbreak_prediction_table", table, _quoted(status), _quoted(message), measured=False)
+    return _rows(spark.range(1), [check], as_of)
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -153,9 +152,7 @@ def table_state_checks(
     """Exists, has rows, is fresh, has its columns, has no NULL in them; later checks need the earlier ones."""
     if df is None:
         return _absent_table(spark, table, as_of)
-    missing_columns = [name for name in key_columns if name not in df.columns]
-    checks = _state_checks(table, missing_columns, as_of, stale_hours)
-    return _rows(table_stats(df, table, key_columns), checks, as_of)
+    return _state_rows(df, table, key_columns, as_of, stale_hours)
 
 
 def domain_checks(spark: SparkSession, tables: dict[str, DataFrame | None], as_of=None) -> DataFrame:
@@ -183,11 +180,7 @@ def dq_report(
         if df is None:
             frames.append(_absent_table(spark, table, as_of))
             continue
-        missing_columns = [name for name in key_columns if name not in df.columns]
-        checks = _state_checks(table, missing_columns, as_of, stale_hours)
-        if table in DOMAIN_RULES and not missing_columns:
-            checks.append(_domain_check(table))
-        frames.append(_rows(table_stats(df, table, key_columns), checks, as_of))
+        frames.append(_state_rows(df, table, key_columns, as_of, stale_hours, domain=True))
     exists = tables.get("outbreak_predictions") is not None
     return _union([*frames, _prediction_check(spark, exists, as_of)])
 

@@ -34,18 +34,23 @@ _MARKER = "end-of-message"
 
 
 def parse(messages: DataFrame) -> DataFrame:
-    """Add ``_json`` (variant, NULL if unparseable) and the ``event_type`` text."""
+    """Add ``_json`` (variant, NULL if unparseable) and the ``event_type`` text.
+
+    ``explode`` of the one-element array keeps the parsed value a column of its own. Without it, a filter on the
+    verdict is pushed below the parsing and parses the text again for every field that it reads.
+    """
     wrapped = F.concat(F.lit("["), "value", F.lit(f',"{_MARKER}"]'))
-    return messages.withColumn("_json", F.try_parse_json(wrapped)).withColumn("event_type", field("event_type"))
+    parsed = messages.withColumn("_json", F.explode(F.array(F.try_parse_json(wrapped))))
+    return parsed.withColumn("event_type", field("event_type"))
 
 
 def field(name: str) -> Column:
     """A field as text; NULL if absent or null."""
-    return F.try_variant_get("_json", f"$[0].{name}", "string")
+    return F.expr(f"try_variant_get(_json, '$[0].{name}', 'string')")
 
 
 def field_type(name: str) -> Column:
-    return F.schema_of_variant(F.try_variant_get("_json", f"$[0].{name}", "variant"))
+    return F.expr(f"schema_of_variant(try_variant_get(_json, '$[0].{name}', 'variant'))")
 
 
 def is_bad_json() -> Column:
@@ -64,8 +69,8 @@ def is_vaccination() -> Column:
 
 def missing(required: list[str]) -> Column:
     """Names of the required fields that are absent, null or empty. Blanks and zero count as present."""
-    names = [F.when(F.coalesce(field(name), F.lit("")) == "", F.lit(name)) for name in required]
-    return F.array_compact(F.array(*names))
+    names = [f"if(coalesce(try_variant_get(_json, '$[0].{n}', 'string'), '') = '', '{n}', NULL)" for n in required]
+    return F.expr(f"array_compact(array({', '.join(names)}))")
 
 
 def missing_fields() -> Column:

@@ -8,8 +8,8 @@ from __future__ import annotations
 
 import re
 
-AS_OF = "TIMESTAMP '2024-01-31 06:00:00'"
-EARLIER_CHECK, LATER_CHECK = "TIMESTAMP '2024-01-30 17:00:00'", "TIMESTAMP '2024-01-31 05:00:00'"
+AS_OF = "TIMESTAMP '2024-01-31 12:00:00'"
+EARLIER_CHECK, LATER_CHECK = "TIMESTAMP '2024-01-30 23:30:00'", "TIMESTAMP '2024-01-31 08:21:00'"
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 ROUTABLE = "('symptom_report', 'clinic_visit', 'hospital_admission', 'vaccination_record')"
 
@@ -287,13 +287,14 @@ CTES = {
     "bed_moments": """
         SELECT level, region, polled_at, min(position) AS position FROM bed_events GROUP BY ALL""",
     "following": """
-        SELECT a.level, a.region, a.polled_at, b.polled_at AS next_at
-        FROM (SELECT *, polled_at + INTERVAL 6 HOUR AS allowed_at FROM bed_moments) a
-        ASOF JOIN bed_moments b ON a.level = b.level AND a.region = b.region AND a.allowed_at <= b.polled_at""",
+        SELECT *, min(polled_at) OVER (PARTITION BY level, region ORDER BY polled_at
+                                       RANGE BETWEEN INTERVAL 6 HOUR FOLLOWING AND UNBOUNDED FOLLOWING) AS next_at
+        FROM bed_moments""",
     "emitted": """
         SELECT level, region, min(polled_at) AS polled_at FROM bed_moments GROUP BY level, region
         UNION ALL
-        SELECT f.level, f.region, f.next_at FROM emitted e JOIN following f USING (level, region, polled_at)""",
+        SELECT f.level, f.region, f.next_at FROM emitted e JOIN following f USING (level, region, polled_at)
+        WHERE f.next_at IS NOT NULL""",
     "region_labels": """
         SELECT region, CASE WHEN observed <= 60 THEN 'CRITICAL' WHEN observed <= 150 THEN 'WARNING' ELSE 'OK' END
                    AS severity, 'min_available_beds' AS metric, observed,
@@ -322,7 +323,7 @@ CTES = {
                     ELSE 'Latest row is ' || format('{{:.1f}}', age)
                         || CASE WHEN age > 8 THEN 'h old (threshold: 8h) — Spark CronJob may have failed'
                                 ELSE 'h old — within threshold' END END AS message
-        FROM (SELECT *, {_age("TIMESTAMP '2024-01-31 06:21:00'", "latest_time")} AS age FROM states
+        FROM (SELECT *, {_age("TIMESTAMP '2024-01-31 07:00:00'", "latest_time")} AS age FROM states
               WHERE table_name <> 'vaccination_trend')""",
     "vaccination_totals": """
         SELECT region, vaccine_type, dose_number, CAST(sum(vaccination_count) AS BIGINT) AS vaccination_count,
@@ -416,9 +417,9 @@ _STATEMENTS = {
         SELECT (SELECT count(*) FROM raw_all) AS total_seen, (SELECT count(*) FROM valid) AS valid,
                (SELECT count(*) FROM raw_all) - (SELECT count(*) FROM valid) AS invalid""",
     "enrich_events": """
-        SELECT "offset", 'team-a' AS team_id, '2024-01-31T06:00:00.000000Z' AS processing_timestamp,
+        SELECT "offset", 'team-a' AS team_id, '2024-01-31T12:00:00.000000Z' AS processing_timestamp,
                'event-generator' AS event_source, 'team-a' AS json_team_id,
-               '2024-01-31T06:00:00.000000Z' AS json_processing_timestamp, 'event-generator' AS json_event_source,
+               '2024-01-31T12:00:00.000000Z' AS json_processing_timestamp, 'event-generator' AS json_event_source,
                patient_id AS json_patient_id
         FROM valid""",
     "route_events": f"""

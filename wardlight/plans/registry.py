@@ -24,8 +24,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Parameters of the registered queries. The limits are lower than the defaults because an hour of the test tables
 # holds only a few events.
-AS_OF = "2024-01-31 06:00:00"
-EARLIER_CHECK, LATER_CHECK = "2024-01-30 17:00:00", "2024-01-31 05:00:00"
+AS_OF = "2024-01-31 12:00:00"
+EARLIER_CHECK, LATER_CHECK = "2024-01-30 23:30:00", "2024-01-31 08:21:00"
 TEAM = "team-a"
 ALERT_LIMITS = settings.AlertThresholds(
     event_warning=2, event_critical=3, severity_warning=2.0, severity_critical=3.0, vaccination_surge=2
@@ -566,7 +566,7 @@ def table_state(spark, sf_dir):
 def _health(spark, sf_dir) -> DataFrame:
     tables = _analytics(spark, sf_dir)
     states = reports.table_state({name: tables[name] for name in settings.HEALTH_TABLES})
-    return reports.pipeline_health(states, "2024-01-31 06:21:00")
+    return reports.pipeline_health(states, "2024-01-31 07:00:00")
 
 
 @query

@@ -19,12 +19,19 @@ SESSION_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
+# Settings that only count when a session is created.
+STARTUP_CONF = {
+    "spark.ui.enabled": "false",
+    # recording the Python call site of every column expression costs more than planning these queries
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def build_session(app_name: str = "wardlight", master: str | None = None, **conf: str) -> SparkSession:
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SESSION_CONF, **conf}.items():
+    for key, value in {**STARTUP_CONF, **SESSION_CONF, **conf}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 

@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlight import schemas
-from wardlight.functions.scoring import first_match
-from wardlight.functions.text import utc_iso
 
 # Fixed values of the derivation.
 SOURCE_TYPE = {
@@ -18,37 +16,71 @@ SOURCE_TYPE = {
     schemas.HOSPITAL: "purchase",
     schemas.VACCINATION: "signup",
 }
-OTHER_SOURCE_TYPE = "error"
 OTHER_TYPES = ["general_health_report", "vaccination", "emergency_incident"]
-SEVERITY_BELOW = [(15, "low"), (35, "moderate"), (70, "high"), (140, "severe"), (300, "critical")]
-UNMAPPED_SEVERITY = "unknown"
-VACCINES = ["influenza", "covid19", "measles"]
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
-EVENT_COLUMNS = [
-    "offset",
-    "event_type",
-    "timestamp",
-    "region",
-    "patient_id",
-    "severity",
-    "available_beds",
-    "schema_version",
-    "dose_number",
-    "vaccine_type",
-    "record_id",
-    "administered_at",
-]
+ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+
+# Column by column, from a row of ``events`` with ``k`` and the matching row of ``region``.
+EVENT_EXPRESSIONS = {
+    "offset": "event_id",
+    "event_type": """
+        CASE event_type
+            WHEN 'click' THEN 'symptom_report' WHEN 'view' THEN 'clinic_visit'
+            WHEN 'purchase' THEN 'hospital_admission' WHEN 'signup' THEN 'vaccination_record'
+            WHEN 'error' THEN element_at(array('general_health_report', 'vaccination', 'emergency_incident'), k % 3 + 1)
+        END""",
+    "timestamp": "CAST(ts AS TIMESTAMP)",
+    "region": "r_name",
+    "patient_id": "concat('P', user_id)",
+    "severity": """
+        CASE
+            WHEN event_type NOT IN ('click', 'purchase') OR k % 10 = 0 THEN NULL
+            WHEN value < 15 THEN 'low' WHEN value < 35 THEN 'moderate' WHEN value < 70 THEN 'high'
+            WHEN value < 140 THEN 'severe' WHEN value < 300 THEN 'critical' ELSE 'unknown'
+        END""",
+    "available_beds": "CASE WHEN event_type = 'purchase' AND k % 7 <> 0 THEN 3 * k END",
+    "schema_version": "CASE WHEN event_type = 'signup' THEN if(k % 13 = 0, 1, 2) END",
+    "dose_number": "CASE WHEN event_type = 'signup' THEN k % 4 END",
+    "vaccine_type": """
+        CASE WHEN event_type = 'signup' AND k % 11 <> 0
+            THEN element_at(array('influenza', 'covid19', 'measles'), CAST(user_id % 3 AS INT) + 1) END""",
+    "record_id": "CASE WHEN event_type = 'signup' THEN concat('VR', event_id) END",
+    "administered_at": f"""
+        CASE WHEN event_type = 'signup'
+            THEN date_format(CAST(ts AS TIMESTAMP) - INTERVAL 2 MINUTES, "{ISO}") END""",
+}
+EVENT_COLUMNS = list(EVENT_EXPRESSIONS)
+
+# A raw message has a bad timestamp, no region or an empty one, or a text that is cut off, by rules on its offset.
+FAULTY_MESSAGE = f"""
+    to_json(named_struct(
+        'event_type', event_type,
+        'timestamp', if(offset % 89 = 0, 'not-a-time', date_format(timestamp, "{ISO}")),
+        'region', CASE WHEN offset % 97 = 1 THEN '' WHEN offset % 97 <> 0 THEN region END,
+        {", ".join(f"'{name}', {name}" for name in EVENT_COLUMNS[4:])},
+        'data', if(event_type IN ({", ".join(f"'{name}'" for name in OTHER_TYPES)}), 'placeholder', NULL)
+    ))"""
+
+
+# Declared, so that opening the tables needs no job that reads file footers.
+EVENTS_SCHEMA = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+)
+REGION_SCHEMA = "r_regionkey int, r_name string"
 
 
 def events_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same table as a file stream."""
-    schema = events_frame(spark, sf_dir).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+
+
+def regions_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(REGION_SCHEMA).parquet(f"{sf_dir}/region.parquet")
 
 
 def derive(source: DataFrame, regions: DataFrame, types: Sequence[str] | None = None) -> DataFrame:
@@ -59,67 +91,24 @@ def derive(source: DataFrame, regions: DataFrame, types: Sequence[str] | None =
     """
     if types is not None:
         source = source.where(F.col("event_type").isin([SOURCE_TYPE[t] for t in types]))
-    k = F.get_json_object("props", "$.k").try_cast("int")
-    raw = F.col("event_type")
-    vaccination = raw == SOURCE_TYPE[schemas.VACCINATION]
-    hospital = raw == SOURCE_TYPE[schemas.HOSPITAL]
-    severe = raw.isin(SOURCE_TYPE[schemas.SYMPTOM], SOURCE_TYPE[schemas.HOSPITAL])
-
-    event_type = first_match(
-        [(raw == source_type, target) for target, source_type in SOURCE_TYPE.items()]
-        + [((raw == OTHER_SOURCE_TYPE) & (k % 3 == i), name) for i, name in enumerate(OTHER_TYPES)]
-    )
-    severity = first_match([(F.col("value") < limit, label) for limit, label in SEVERITY_BELOW], UNMAPPED_SEVERITY)
-    vaccine = first_match([(F.col("user_id") % 3 == i, name) for i, name in enumerate(VACCINES)])
-    timestamp = F.col("ts").cast("timestamp")
-    return source.join(regions, F.col("user_id") % 5 == F.col("r_regionkey")).select(
-        F.col("event_id").alias("offset"),
-        event_type.alias("event_type"),
-        timestamp.alias("timestamp"),
-        F.col("r_name").alias("region"),
-        F.concat(F.lit("P"), "user_id").alias("patient_id"),
-        F.when(severe & (k % 10 != 0), severity).alias("severity"),
-        F.when(hospital & (k % 7 != 0), 3 * k).alias("available_beds"),
-        F.when(vaccination, F.when(k % 13 == 0, 1).otherwise(2)).alias("schema_version"),
-        F.when(vaccination, k % 4).alias("dose_number"),
-        F.when(vaccination & (k % 11 != 0), vaccine).alias("vaccine_type"),
-        F.when(vaccination, F.concat(F.lit("VR"), "event_id")).alias("record_id"),
-        F.when(vaccination, utc_iso(timestamp - F.expr("INTERVAL 2 MINUTES"))).alias("administered_at"),
+    return (
+        source.selectExpr("*", "try_cast(get_json_object(props, '$.k') AS INT) AS k")
+        .join(regions, F.expr("user_id % 5 = r_regionkey"))
+        .selectExpr(*[f"{expression} AS {name}" for name, expression in EVENT_EXPRESSIONS.items()])
     )
 
 
-def regions_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/region.parquet")
-
-
 def derived_events(spark: SparkSession, sf_dir: str, types: Sequence[str] | None = None) -> DataFrame:
     return derive(events_frame(spark, sf_dir), regions_frame(spark, sf_dir), types)
 
 
-def typed_stream(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
-    return derived_events(spark, sf_dir, [event_type])
-
-
 def with_faults(events: DataFrame) -> DataFrame:
-    """Raw JSON messages (``offset``, ``value``) with bad timestamps, missing regions and cut-off texts."""
-    offset = F.col("offset")
-    payload = {
-        "event_type": F.col("event_type"),
-        "timestamp": F.when(offset % 89 == 0, F.lit("not-a-time")).otherwise(utc_iso(F.col("timestamp"))),
-        "region": _faulty_region(offset),
-        **{name: F.col(name) for name in EVENT_COLUMNS[4:]},
-        "data": F.when(F.col("event_type").isin(OTHER_TYPES), F.lit("placeholder")),
-    }
-    text = F.to_json(F.struct(*[column.alias(name) for name, column in payload.items()]))
-    cut = F.expr("left(text, length(text) div 2)")
-    return events.select("offset", text.alias("text")).select(
-        "offset", F.when(offset % 83 == 0, cut).otherwise(F.col("text")).alias("value")
+    """Raw JSON messages: ``offset`` and ``value``."""
+    # explode makes ``value`` a stored column, as it is in a message source
+    return events.selectExpr("offset", f"{FAULTY_MESSAGE} AS text").selectExpr(
+        "offset", "explode(array(if(offset % 83 = 0, left(text, length(text) div 2), text))) AS value"
     )
 
 
-def _faulty_region(offset: Column) -> Column:
-    return F.when(offset % 97 == 1, F.lit("")).when(offset % 97 != 0, F.col("region"))
-
-
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_faults(derived_events(spark, sf_dir))
