@@ -28,7 +28,7 @@ def emitted_alerts(
     key = list(key)
     cooldown = cooldown_seconds * 1_000_000
     key_ddl = ", ".join(f"`{name}` {alerts.schema[name].dataType.simpleString()}" for name in key)
-    timed = alerts.withWatermark(time, lateness)
+    timed = alerts.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, lateness)
     moments = timed.select(*key, time, F.unix_micros(F.col(time)).alias("at"))
 
     def emit(values: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
