@@ -38,19 +38,31 @@ def enrich_events(
 
 
 def _with_enrichment() -> Column:
-    present = [F.try_variant_get("_json", f"$[0].{name}", "variant").isNotNull() for name in ENRICHMENT]
     added = F.to_json(F.struct(*ENRICHMENT))
-    open_object = F.regexp_replace("value", r"\s*\}\s*$", "")
-    comma = F.when(open_object.rlike(r"^\s*\{$"), F.lit("")).otherwise(F.lit(","))
+    trimmed = r"rtrim(' \t\n\r', value)"
+    open_object = F.expr(f"left({trimmed}, length({trimmed}) - 1)")
+    comma = F.when(open_object.rlike(r"^\s*\{\s*$"), F.lit("")).otherwise(F.lit(","))
     appended = F.concat(open_object, comma, F.substring(added, 2, 2**30))
-    # a message that was enriched before is rebuilt from its parsed fields, so that no name occurs twice
+    return F.when(_already_enriched(), _rebuilt()).otherwise(appended)
+
+
+def _already_enriched() -> Column:
+    # looking for the quoted name first spares most messages the second parse
+    present = [
+        f"(contains(value, '\"{name}\"') AND try_variant_get(try_parse_json(value), '$.{name}', 'variant') IS NOT NULL)"
+        for name in ENRICHMENT
+    ]
+    return F.expr(" OR ".join(present))
+
+
+def _rebuilt() -> Column:
+    """The message from its parsed fields, so that no name occurs twice."""
     names = ", ".join(f"'{name}'" for name in ENRICHMENT)
     entries = ", ".join(f"'{name}', cast({name} as variant)" for name in ENRICHMENT)
-    rebuilt = F.expr(
-        "to_json(map_concat(map_filter(cast(variant_get(_json, '$[0]', 'variant') as map<string, variant>), "
+    return F.expr(
+        "to_json(map_concat(map_filter(cast(try_parse_json(value) as map<string, variant>), "
         f"(name, _) -> name not in ({names})), map({entries})))"
     )
-    return F.when(present[0] | present[1] | present[2], rebuilt).otherwise(appended)
 
 
 def target_stream(event_type: Column, routes: Mapping[str, str]) -> Column:
