@@ -23,7 +23,7 @@ def enrich_events(
     All other fields keep their text, including those that no schema declares.
     """
     columns = [name for name in messages.columns if name not in ENRICHMENT]
-    enriched = validate.parse(messages.select(*columns)).withColumns(
+    enriched = validate.parse(messages.select(*columns), also=ENRICHMENT).withColumns(
         {
             "team_id": F.lit(team_id),
             "processing_timestamp": utc_iso(as_of_time(as_of)),
@@ -43,16 +43,13 @@ def _with_enrichment() -> Column:
     open_object = F.expr(f"left({trimmed}, length({trimmed}) - 1)")
     comma = F.when(open_object.rlike(r"^\s*\{\s*$"), F.lit("")).otherwise(F.lit(","))
     appended = F.concat(open_object, comma, F.substring(added, 2, 2**30))
-    return F.when(_already_enriched(), _rebuilt()).otherwise(appended)
+    # a repeated name can make the rebuilding parse fail; the appended fields then count as the last of their name
+    return F.when(_already_enriched(), F.coalesce(_rebuilt(), appended)).otherwise(appended)
 
 
 def _already_enriched() -> Column:
-    # looking for the quoted name first spares most messages the second parse
-    present = [
-        f"(contains(value, '\"{name}\"') AND try_variant_get(try_parse_json(value), '$.{name}', 'variant') IS NOT NULL)"
-        for name in ENRICHMENT
-    ]
-    return F.expr(" OR ".join(present))
+    # a null in the text is a variant too; only an absent field is NULL
+    return F.expr(" OR ".join(f"get(_json, 0).{name} IS NOT NULL" for name in ENRICHMENT))
 
 
 def _rebuilt() -> Column:

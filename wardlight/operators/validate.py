@@ -5,6 +5,8 @@ All functions work on batch and streaming frames alike and add columns without a
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,20 +34,23 @@ VALID = "valid"
 # no longer this marker; parsing the bare text would ignore what follows.
 _MARKER = "end-of-message"
 _FIELDS = [name for name in VACCINATION_REQUIRED if name != "dose_number"]
-# As text, 2 and "2" are the same but 2.0 is not, which is what the rules ask. Only the dose needs its JSON type.
-_PARSED = (
-    f"array<struct<{', '.join(f'{name}: string' for name in _FIELDS)}, dose_number: variant, `{_MARKER}`: boolean>>"
-)
 
 
-def parse(messages: DataFrame) -> DataFrame:
+def _parsed_type(variants: Sequence[str]) -> str:
+    # as text, 2 and "2" are the same but 2.0 is not, which is what the rules ask; only the dose needs its JSON type
+    fields = [f"{name}: string" for name in _FIELDS] + [f"{name}: variant" for name in ["dose_number", *variants]]
+    return f"array<struct<{', '.join(fields)}, `{_MARKER}`: boolean>>"
+
+
+def parse(messages: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """Add ``_json`` (the needed fields in one pass over the text) and the ``event_type`` text.
 
-    ``explode`` of the one-element array keeps the parsed value a column of its own. Without it, a filter on the
-    verdict is pushed below the parsing and parses the text again for every field that it reads.
+    ``also`` names further fields to read, as variants. ``explode`` of the one-element array keeps the parsed value a
+    column of its own. Without it, a filter on the verdict is pushed below the parsing and parses the text again for
+    every field that it reads.
     """
     wrapped = F.concat(F.lit("["), "value", F.lit(f',{{"{_MARKER}":true}}]'))
-    parsed = F.from_json(wrapped, _PARSED, {"allowSingleQuotes": "false"})
+    parsed = F.from_json(wrapped, _parsed_type(also), {"allowSingleQuotes": "false"})
     return messages.withColumn("_json", F.explode(F.array(parsed))).withColumn("event_type", field("event_type"))
 
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wardlight import settings
+from wardlight.functions.text import as_of_time
 from wardlight.operators import aggregates, alerts, quality, risk
 from wardlight.sinks import tables as store
 
@@ -22,8 +24,7 @@ def refresh_analytics(spark: SparkSession, events: DataFrame, root: str) -> str:
     rollup_path = f"{root}/{ROLLUP}/version={version}"
     aggregates.event_rollup(events).write.parquet(rollup_path)
     rollup = spark.read.parquet(rollup_path)
-    for table, result in aggregates.results_from_rollup(rollup).items():
-        store.write_version(result, root, table, version)
+    store.write_versions(aggregates.results_from_rollup(rollup), root, version)
     store.commit(spark, root, [*ANALYTICS, ROLLUP], version)
     return version
 
@@ -57,9 +58,13 @@ def record_checks(
 def poll_alerts(
     spark: SparkSession, root: str, as_of=None, limits: settings.AlertThresholds = alerts.DEFAULTS
 ) -> DataFrame:
-    """One poll of all alert checks on the stored tables."""
+    """One poll of all alert checks on the stored tables.
+
+    Of the check history only the dates that can raise an alert are read.
+    """
     current = read_analytics(spark, root)
-    checks = store.read_history(spark, root, "data_quality_checks")
+    recent = as_of_time(as_of) - F.expr("INTERVAL 12 HOURS")
+    checks = store.read_history(spark, root, "data_quality_checks", since=recent)
     if checks is None:
         checks = spark.createDataFrame([], store.schemas.RESULT_SCHEMAS["data_quality_checks"])
     return alerts.alert_feed({**current, "data_quality_checks": checks}, as_of, limits)

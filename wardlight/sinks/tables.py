@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -49,6 +50,14 @@ def write_version(df: DataFrame, root: str, table: str, version: str) -> None:
     _write(df, table, f"{root}/{table}/version={version}", "errorifexists")
 
 
+def write_versions(results: Mapping[str, DataFrame], root: str, version: str) -> None:
+    """Write all tables of one refresh; their jobs run side by side, since each is too small to fill a cluster."""
+    with ThreadPoolExecutor(max_workers=len(results)) as pool:
+        writes = [pool.submit(write_version, df, root, table, version) for table, df in results.items()]
+    for write in writes:
+        write.result()
+
+
 def commit(spark: SparkSession, root: str, tables: list[str], version: str) -> None:
     rows = spark.createDataFrame([(version, table) for table in tables], COMMIT_SCHEMA)
     rows.coalesce(1).write.mode("append").parquet(f"{root}/_commits")
@@ -57,8 +66,7 @@ def commit(spark: SparkSession, root: str, tables: list[str], version: str) -> N
 def refresh_tables(spark: SparkSession, root: str, results: Mapping[str, DataFrame]) -> str:
     """Replace the contents of all given tables together; any failure leaves the previous contents in place."""
     version = new_version()
-    for table, df in results.items():
-        write_version(df, root, table, version)
+    write_versions(results, root, version)
     commit(spark, root, list(results), version)
     return version
 
