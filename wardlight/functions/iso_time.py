@@ -53,8 +53,10 @@ def _calendar(dash: str) -> str:
 
 
 def _week(week: str) -> str:
-    time, day = _time(), "[1-7]"
-    year = "(?!0000)(?!9999-?W52-?[67])[0-9]{4}"
+    time = _time()
+    year = "(?!0000)[0-9]{4}"
+    # the last two days of that week fall into the year 10000
+    day = "(?:[1-5]|(?<!9999-W52-)(?<!9999W52)[67])"
     dashed = (
         f"{year}-W{week}(?:{_END}|[^\\-]{time}|-{time}|-{day}(?:{_END}|[^0-9]{time}))"
     )

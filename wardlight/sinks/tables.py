@@ -59,8 +59,9 @@ def write_versions(results: Mapping[str, DataFrame], root: str, version: str) ->
 
 
 def commit(spark: SparkSession, root: str, tables: list[str], version: str) -> None:
-    rows = spark.createDataFrame([(version, table) for table in tables], COMMIT_SCHEMA)
-    rows.coalesce(1).write.mode("append").parquet(f"{root}/_commits")
+    names = ", ".join(f"'{table}'" for table in tables)
+    rows = spark.range(1, numPartitions=1).selectExpr(f"'{version}' AS version", f"explode(array({names})) AS table_name")
+    rows.write.mode("append").parquet(f"{root}/_commits")
 
 
 def refresh_tables(spark: SparkSession, root: str, results: Mapping[str, DataFrame]) -> str:
