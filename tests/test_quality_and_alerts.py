@@ -51,6 +51,10 @@ def test_stale_table_with_nulls(spark):
     ]
 
 
+def test_table_without_any_time_is_not_fresh(spark):
+    assert checks_of(spark, rate(spark, (None, "t", "r", 1)))[2][:2] == ("freshness", "FAIL")
+
+
 def test_empty_table_ends_after_the_row_count(spark):
     assert checks_of(spark, rate(spark)) == [
         ("table_exists", "PASS", 0, "Table exists"),

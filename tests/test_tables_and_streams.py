@@ -123,7 +123,7 @@ def test_ingestion_continues_where_it_stopped(spark, sf_dir, tmp_path):
     stored = []
     for part in range(2):
         raw.where(F.col("offset") % 2 == part).coalesce(3).write.mode("append").parquet(source)
-        stream = events.stream_messages(spark, "parquet", source, "offset bigint, value string", maxFilesPerTrigger="2")
+        stream = events.stream_messages(spark, "parquet", source, "offset bigint, value string", batch_cap=2)
         ingest.ingest(stream, out, checkpoint).awaitTermination()
         stored.append(spark.read.parquet(out).count())
     assert stored == [raw.where("offset % 2 = 0").count(), raw.count()]

@@ -92,8 +92,8 @@ def _state_rows(
         _check(
             "freshness",
             table,
-            f"if(age > {stale_hours}, 'FAIL', 'PASS')",
-            f"concat('Latest data is ', hours, if(age > {stale_hours}, '{threshold}', 'h old'))",
+            f"if(age <= {stale_hours}, 'PASS', 'FAIL')",
+            f"concat('Latest data is ', coalesce(hours, '?'), if(age <= {stale_hours}, 'h old', '{threshold}'))",
         )
     ]
     if missing_columns:

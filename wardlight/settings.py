@@ -9,7 +9,6 @@ from wardlight import schemas
 # Fixed values.
 STALE_HOURS = 8
 COOLDOWN_SECONDS = 300
-BATCH_CAP = 25
 EVENT_SOURCE = "event-generator"
 
 

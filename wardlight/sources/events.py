@@ -30,10 +30,23 @@ def read_messages(spark: SparkSession, fmt: str, path: str | None = None, **opti
 
 
 def stream_messages(
-    spark: SparkSession, fmt: str, path: str | None = None, schema: StructType | str | None = None, **options: str
+    spark: SparkSession,
+    fmt: str,
+    path: str | None = None,
+    schema: StructType | str | None = None,
+    batch_cap: int | None = None,
+    **options: str,
 ) -> DataFrame:
-    """The same source as an unbounded stream; the checkpoint keeps the position between runs."""
+    """The same source as an unbounded stream; the checkpoint keeps the position between runs.
+
+    ``batch_cap`` limits one micro-batch: messages for kafka, files for file sources. Set it where a backlog can be
+    large, so that a batch and its state updates stay small.
+    """
     reader = spark.readStream.format(fmt).options(**options)
+    if fmt == "kafka":
+        reader = reader.option("startingOffsets", options.get("startingOffsets", "earliest"))
+    if batch_cap is not None:
+        reader = reader.option("maxOffsetsPerTrigger" if fmt == "kafka" else "maxFilesPerTrigger", str(batch_cap))
     if schema is not None:
         reader = reader.schema(schema)
     frame = reader.load(path) if path else reader.load()

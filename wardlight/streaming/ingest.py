@@ -1,8 +1,7 @@
 """Ingestion as Structured Streaming: validate, publish, enrich and route.
 
 All queries run with ``availableNow``: they consume what has arrived since the last run, keep their position in the
-checkpoint and stop. The source's own options cap the size of one batch (``maxOffsetsPerTrigger`` for kafka,
-``maxFilesPerTrigger`` for files).
+checkpoint and stop. The source caps the size of one batch (``batch_cap`` of ``sources.events.stream_messages``).
 """
 
 from __future__ import annotations
