@@ -74,6 +74,15 @@ class Words:
     bounds: np.ndarray  # words of text i: bounds[i] to bounds[i + 1]
     offsets: np.ndarray  # bytes of text i: offsets[i] to offsets[i + 1]
 
+    def prefixes(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the first ``length`` bytes of the words that are longer, and which words those are."""
+        long = np.flatnonzero(self.ends - self.starts > length)
+        first = self.starts[long]
+        acc = np.full(len(long), length, _U)
+        for j in range(length):
+            acc = acc * _U(0x9FB21C651E98DF25) + self.data[first + j].astype(_U)
+        return mix(acc), long
+
     def rolled(self, size: int) -> np.ndarray:
         """Hashes of ``size`` words from every word on, also across the end of a text."""
         n = len(self.hashes)

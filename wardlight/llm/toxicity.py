@@ -15,9 +15,12 @@ from wardlight.llm.texts import words_of
 
 #: documented bounds of the fit: labelled examples of each class, and terms of the index
 EXAMPLES_PER_CLASS = 2000
-MAX_TERMS = 512
-#: chi-squared of a term against the label from which the term is indexed
+MAX_TERMS = 1024
+#: a term is indexed from this chi-squared against the label, and this share of label 1 among its documents
 MIN_CHI2 = 30.0
+MIN_SHARE = 0.8
+#: bytes of the word beginnings that are terms beside the whole words, as languages inflect
+BEGINNINGS = (4, 5, 6, 7, 8, 9)
 BLOCK = 64
 NEIGHBOURS = 16
 #: weight of the prior among the votes
@@ -64,22 +67,49 @@ class BlockMaxIndex:
         return float((weight @ self.labels[found] + PRIOR_WEIGHT * self.prior) / (weight.sum() + PRIOR_WEIGHT))
 
 
-def _counts(column: pa.Array, terms: np.ndarray | None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """For slices of texts: first row, rows, then text, term and count of each distinct word (of ``terms`` if given)."""
+class Vocabulary:
+    """Sorted term hashes with a bitmap in front, as nearly all words of a text are no terms."""
+
+    def __init__(self, terms: np.ndarray):
+        self.terms = terms
+        self.maybe = np.zeros(1 << 16, bool)
+        self.maybe[(terms & np.uint64(0xFFFF)).astype(np.int64)] = True
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes are terms, and the terms' places."""
+        if not len(self.terms):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        hit = np.flatnonzero(self.maybe[(hashes & np.uint64(0xFFFF)).astype(np.int64)])
+        place = np.minimum(np.searchsorted(self.terms, hashes[hit]), len(self.terms) - 1)
+        same = self.terms[place] == hashes[hit]
+        return hit[same], place[same]
+
+
+def _counts(
+    column: pa.Array, vocabulary: Vocabulary | None
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For slices of texts: first row, rows, then text, term and count of each distinct term of a text.
+
+    Terms are hashes, or places in the vocabulary if there is one, which leaves all other terms out.
+    """
     for part in words_of(column, "symbol", lower=True):
-        if terms is None:
-            term, row = part.hashes, part.row
-        else:
-            place = np.searchsorted(terms, part.hashes)
-            place[place == len(terms)] = 0
-            hit = np.flatnonzero(terms[place] == part.hashes) if len(terms) else np.zeros(0, np.int64)
-            term, row = place[hit], part.row[hit]
+        terms, rows = [], []
+        for hashes, which in ((part.hashes, None), *(part.prefixes(n) for n in BEGINNINGS)):
+            row = part.row if which is None else part.row[which]
+            if vocabulary is None:
+                terms.append(hashes)
+                rows.append(row)
+            else:
+                hit, place = vocabulary.find(hashes)
+                terms.append(place)
+                rows.append(row[hit])
+        term, row = np.concatenate(terms), np.concatenate(rows)
         order = np.lexsort((term, row))
         term, row = term[order], row[order]
         new = np.ones(len(term), bool)
         new[1:] = (term[1:] != term[:-1]) | (row[1:] != row[:-1])
         at = np.flatnonzero(new)
-        yield part.first_row, part.rows, row[at], term[at], np.diff(np.append(at, len(term)))
+        yield part.first_row, part.rows, row[at], term[at], np.diff(at, append=len(term))
 
 
 def _vector(terms: np.ndarray, count: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -97,9 +127,10 @@ def fit(
 ) -> BlockMaxIndex:
     """An index of at most ``2 * per_class`` labelled examples that are not held out.
 
-    Terms are lower-cased words between ASCII symbols whose presence depends on the label (chi-squared in the sample
-    weighted to all labels, at most ``max_terms``); the document frequencies behind the IDF come from all documents.
-    With one class only, or no term, every text gets the share of label 1 (0.5 if there is no label).
+    Terms are lower-cased words between ASCII symbols, and word beginnings, that go with label 1: at most ``max_terms``,
+    by chi-squared in the sample weighted to all labels, where near copies of one example count once. The document
+    frequencies behind the IDF come from all documents. With one class only, or no term, every text gets the share of
+    label 1 (0.5 if there is no label).
     """
     sample, sizes = labelled_sample(labels, label, held_out, per_class)
     prior = (sizes.get(1, 0) + 0.5) / (sum(sizes.values()) + 1.0)
@@ -148,26 +179,33 @@ def fit(
 def _selected(term: np.ndarray, row: np.ndarray, y: np.ndarray, votes: np.ndarray, most: int) -> np.ndarray:
     if not len(term) or y.min() == y.max():
         return np.zeros(0, np.uint64)
+    # near copies mostly have the same smallest hash; only the first of them counts
+    least = np.full(len(y), np.iinfo(np.uint64).max, np.uint64)
+    np.minimum.at(least, row, term)
+    counted = np.zeros(len(y), bool)
+    counted[np.unique(least, return_index=True)[1]] = True
+    votes = votes * counted
     values, place = np.unique(term, return_inverse=True)
-    scale = len(y) / votes.sum()
+    scale = counted.sum() / votes.sum()
     with_term = [np.bincount(place, votes[row] * scale * (y[row] == c), len(values)) for c in (0, 1)]
     totals = [votes[y == c].sum() * scale for c in (0, 1)]
     n, have = sum(totals), with_term[0] + with_term[1]
     cross = with_term[1] * (totals[0] - with_term[0]) - with_term[0] * (totals[1] - with_term[1])
     chi2 = n * cross**2 / np.maximum(have * (n - have) * totals[0] * totals[1], 1e-9)
+    chi2[(with_term[1] < MIN_SHARE * have) | (have <= 0)] = 0
     order = np.lexsort((values, -chi2))[:most]
     return np.sort(values[order[chi2[order] >= MIN_CHI2]])
 
 
 def _document_frequencies(documents: DataFrame, terms: np.ndarray) -> np.ndarray:
     """Documents with each term and, last, all documents: counted over the whole table, summed per task first."""
-    size = len(terms)
+    size, vocabulary = len(terms), Vocabulary(terms)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(size + 1, np.int64)
         for batch in batches:
             held[-1] += batch.num_rows
-            for _, _, _, term, _ in _counts(batch.column(0), terms):
+            for _, _, _, term, _ in _counts(batch.column(0), vocabulary):
                 held[:-1] += np.bincount(term, minlength=size) if size else 0
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(size + 1)), pa.array(held)], names=["place", "n"])
 
@@ -197,7 +235,7 @@ def _index(terms, idf, ids, y, votes, term, row, count, prior) -> BlockMaxIndex:
 def _scores(column: pa.Array, index: BlockMaxIndex, neighbours: int) -> Iterator[tuple[int, int, tuple[np.ndarray, ...]]]:
     """For slices of texts: first row, rows, and of each text the score, the nearest example (-1: none), its cosine."""
     known: dict[bytes, tuple[float, int, float]] = {}
-    for first, rows, row, term, count in _counts(column, index.terms):
+    for first, rows, row, term, count in _counts(column, Vocabulary(index.terms)):
         scores = np.full(rows, index.prior)
         nearest, cosine = np.full(rows, -1, np.int64), np.zeros(rows)
         at = np.searchsorted(row, np.arange(rows + 1))
