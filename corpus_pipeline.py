@@ -45,7 +45,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The remaining documents in sequences of at most 2048 tokens, one row per piece."""
-    return packing.pack(spark, docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(
+        spark, docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    )
 
 
 STAGES = [

@@ -41,7 +41,12 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(spark, _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(
+        spark,
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+    )
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
