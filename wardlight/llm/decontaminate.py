@@ -73,10 +73,11 @@ def shared_places(documents: DataFrame, places: DataFrame, sizes: list[int], win
             if first < 0:
                 wanted = wanted.unionByName(wanted.sparkSession.range(1).select(marker.alias("wanted")))
             last = F.size("tokens") - size if size else F.lit(-1)
+            here = _hash("tokens", F.col("at"), size) if size else marker
             found = (
                 tokens.where(F.lit(True) if first < 0 else F.size("tokens") >= size)
                 .select("*", F.explode(F.sequence(F.lit(first), F.greatest(last, F.lit(first)))).alias("at"))
-                .withColumn("hash", F.when(F.col("at") < 0, marker).otherwise(_hash("tokens", F.col("at"), size)))
+                .withColumn("hash", F.when(F.col("at") < 0, marker).otherwise(here))
                 .join(F.broadcast(wanted), F.col("hash") == F.col("wanted"), "left_semi")
             )
             begin = F.greatest(F.col("at") - (window - size), F.lit(0))
