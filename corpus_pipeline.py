@@ -31,7 +31,7 @@ def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     groups = jaccard.link_components(spark, docs)
     # an id that is not its group's smallest goes; ids without a group, or null, stay
     gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    return docs.join(gone.hint("merge"), F.col("doc_id") == F.col("gone"), "left_anti")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +40,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     found = decontaminate.contamination(spark, docs, benchmark).where("n_hit > 0")
     found = found.select(F.col("doc_id").alias("f_doc"), F.col("row_key").alias("f_key")).distinct()
     same = (F.xxhash64("doc_id", "text") == F.col("f_key")) & F.col("doc_id").eqNullSafe(F.col("f_doc"))
-    return docs.join(found, same, "left_anti")
+    return docs.join(found.hint("merge"), same, "left_anti")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
