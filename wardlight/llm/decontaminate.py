@@ -53,19 +53,21 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW, shingle: int = SHIN
     )
 
 
-def shared_places(documents: DataFrame, places: DataFrame, sizes: list[int], window: int, limit: int) -> DataFrame:
+def shared_places(
+    documents: DataFrame, places: DataFrame, sizes: dict[int, int], window: int, limit: int
+) -> DataFrame:
     """Places of documents whose shingle some window has, with the words that a window there could cover.
 
     Every row of ``documents`` also gives one row with the place -1. The shingles of the windows are broadcast,
-    ``limit`` at a time, so nothing of a document moves but the places found.
+    ``limit`` at a time, so nothing of a document moves but the places found. ``sizes``: distinct shingles by size.
     """
     tokens = documents.select(
         F.col("doc_id").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row_key"), words(F.col("text")).alias("tokens")
     )
     out = None
-    for size in sizes or [0]:
+    for size, count in (sizes or {0: 0}).items():
         own = places.where(F.col("size") == size).select(F.col("hash").alias("wanted")).distinct()
-        passes = max(1, -(-own.count() // limit)) if sizes else 1
+        passes = max(1, -(-count // limit))
         for turn in range(passes):
             first = -1 if out is None else 0
             wanted = own.where(F.pmod("wanted", F.lit(passes)) == turn)
@@ -120,17 +122,15 @@ def contamination(
     an empty benchmark hits nothing; an empty table gives no rows. Other columns are not read.
     """
     windows = written(spark, item_windows(benchmark, window, shingle), "windows")
-    sizes = sorted(r[0] for r in windows.select("size").distinct().collect())  # at most ``shingle`` values
-    places = None
-    for size in sizes:
-        part = windows.where(F.col("size") == size).select(
-            "window", "items", "size", F.explode(F.sequence(F.lit(0), F.size("window") - size)).alias("offset")
-        )
-        part = part.withColumn("hash", _hash("window", F.col("offset"), size))
-        places = part if places is None else places.unionByName(part)
-    if places is None:
-        places = windows.select("window", "items", "size", F.lit(0).alias("offset"), F.lit(0).cast("long").alias("hash"))
-    places = written(spark, places, "window-shingles")
+    offset = F.explode(F.sequence(F.lit(0), F.size("window") - F.col("size"))).alias("offset")
+    places = windows.select("window", "items", "size", offset)
+    key = F.lit(0).cast("long")
+    for size in range(1, shingle + 1):
+        key = F.when(F.col("size") == size, _hash("window", F.col("offset"), size)).otherwise(key)
+    places = written(spark, places.withColumn("hash", key), "window-shingles")
+    # at most ``shingle`` rows
+    counts = places.groupBy("size").agg(F.count_distinct("hash").alias("n")).collect()
+    sizes = {row["size"]: row["n"] for row in sorted(counts, key=lambda row: row["size"])}
     seen = written(spark, shared_places(documents, places, sizes, window, broadcast_rows), "shared-places")
     rows = seen.where("at < 0").select("doc_id", "row_key", F.col("n_words").cast("long").alias("n_words"))
     seen = seen.where("at >= 0")

@@ -74,7 +74,7 @@ def repeated_runs(
             F.col("doc_id").alias("doc_id"),
             F.xxhash64("doc_id", "text").alias("row_key"),
             line_hashes(F.coalesce("text", F.lit(""))).alias("hashes"),
-        ),
+        ).dropDuplicates(["doc_id", "row_key"]),  # repeated rows are one document
         "lines",
     )
     prints = (
@@ -106,15 +106,14 @@ def repeated_runs(
     )
     source = lines.select(
         F.col("doc_id").alias("src_id"), F.col("row_key").alias("src_key"), F.col("hashes").alias("source")
-    ).dropDuplicates(["src_id", "src_key"])
-    own = lines.dropDuplicates(["doc_id", "row_key"])
+    )
     same = [F.col(f"m.{a}").eqNullSafe(F.col(f"o.{a}")) for a in ("doc_id", "row_key")]
     by_source = matches.alias("m").join(
-        written(spark, source, "line-sources").alias("s"),
+        source.alias("s"),
         F.col("m.src_id").eqNullSafe(F.col("s.src_id")) & (F.col("m.src_key") == F.col("s.src_key")),
     )
     by_source = by_source.select("m.doc_id", "m.row_key", "shift", "source")
-    runs = by_source.alias("m").join(own.alias("o"), same[0] & same[1]).select(
+    runs = by_source.alias("m").join(lines.alias("o"), same[0] & same[1]).select(
         "m.doc_id", "m.row_key", F.explode(equal_runs(F.col("hashes"), F.col("source"), F.col("shift"), run_lines)).alias("run")
     )
     places = F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r["start"], r["end"] - 1))))

@@ -7,6 +7,7 @@ import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -85,6 +86,12 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray,
     return bins, offsets, np.array(fills, np.int64)
 
 
+@cache
+def encoder(path: str, ranks: str | None) -> Encoder:
+    """One encoder for all tasks of a worker process; loading the vocabulary takes as long as a small task."""
+    return Encoder(path, ranks)
+
+
 PIECE_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long, bin_id long, offset long, fill long"
 
 
@@ -92,7 +99,7 @@ def _local(path: str, ranks: str | None, capacity: int):
     """Tokens, pieces and local bins of one partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(path, ranks)
+        encode = encoder(path, ranks)
         doc, piece, start, length, crc = [], [], [], [], []
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
