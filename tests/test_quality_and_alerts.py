@@ -258,3 +258,14 @@ def test_pivots_fill_or_keep_gaps(spark):
     }
     beds = table(spark, "bed_availability", [(NOW, "a", 2.0, 1, 1), (later, "b", 1.0, 4, 1)])
     assert {tuple(r) for r in charts.beds_chart(beds, ["a", "b"]).collect()} == {(NOW, 1, None), (later, None, 4)}
+
+
+def test_domain_check_needs_only_its_own_columns(spark):
+    from wardlight.operators import quality
+
+    rows = spark.createDataFrame([("a", 9.0)], "region string, avg_severity double")
+    rows = rows.selectExpr("TIMESTAMP '2026-01-01 00:00:00' AS window_start", "*")
+    report = quality.dq_report(spark, {"severity_trend": rows}, as_of="2026-01-01 01:00:00").collect()
+    found = {(r["check_name"], r["table_name"]): r["status"] for r in report}
+    assert found["required_columns", "severity_trend"] == "FAIL"
+    assert ("severity_range", "severity_trend") in found

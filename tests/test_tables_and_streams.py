@@ -167,3 +167,47 @@ def test_streamed_hours_equal_the_batch_result(spark, sf_dir, tmp_path):
     streamed = spark.read.parquet(out).select(*batch.columns)
     assert {tuple(row) for row in streamed.collect()} == {tuple(row) for row in batch.collect()}
     assert streamed.count() == batch.count()
+
+
+def test_parallel_refreshes_and_appends_lose_nothing(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    root = str(tmp_path)
+
+    def work(i: int) -> str:
+        store.append_rows(rate(spark, (NOW, "t", f"r{i}", 1)), root, "hourly_event_rate")
+        return store.refresh_tables(spark, root, {"hourly_event_rate": rate(spark, (NOW, "t", f"r{i}", 1))})
+
+    with ThreadPoolExecutor(8) as pool:
+        versions = set(pool.map(work, range(8)))
+    assert len(versions) == 8
+    assert spark.read.parquet(f"{root}/_commits").count() == 8
+    assert len(regions(store.read_history(spark, root, "hourly_event_rate"))) == 8
+
+
+def test_a_job_reads_one_refresh(spark, tmp_path):
+    root = str(tmp_path)
+    store.refresh_tables(spark, root, {"hourly_event_rate": rate(spark, (NOW, "t", "old", 1))})
+    pinned = store.current_versions(spark, root)
+    store.refresh_tables(spark, root, {"hourly_event_rate": rate(spark, (NOW, "t", "new", 1))})
+    assert regions(store.read_table(spark, root, "hourly_event_rate", versions=pinned)) == ["old"]
+    assert regions(store.read_table(spark, root, "hourly_event_rate")) == ["new"]
+
+
+def test_the_last_commit_is_current(spark, tmp_path):
+    root = str(tmp_path)
+    early, late = store.new_version(), store.new_version()
+    for version, region in ((late, "late start"), (early, "early start")):
+        store.write_version(rate(spark, (NOW, "t", region, 1)), root, "hourly_event_rate", version)
+        store.commit(spark, root, ["hourly_event_rate"], version)
+    assert regions(store.read_table(spark, root, "hourly_event_rate")) == ["early start"]
+
+
+def test_missing_topic_reported_by_the_jvm():
+    from wardlight.sources import events
+
+    class Failure(Exception):
+        def __str__(self):
+            return "java.util.concurrent.ExecutionException: UnknownTopicOrPartitionException: no such topic"
+
+    assert events._source_is_missing(Failure())

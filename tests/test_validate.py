@@ -225,3 +225,13 @@ def test_cleaning_drops_what_cannot_be_typed(spark):
     assert sorted(row.region for row in cleaned.collect()) == ["", "Boston"]
     assert cleaned.schema["timestamp"].dataType.simpleString() == "timestamp"
     assert cleaned.agg(F.max("timestamp").cast("string")).first()[0] == "2026-04-27 14:32:00"
+
+
+def test_numbers_that_json_lacks(spark):
+    from wardlight.operators import validate
+
+    rows = [('{"event_type": "a", "x": +INF}', True), ('{"event_type": "a", "x": -INF}', True)]
+    rows += [('{"event_type": "a", "x": -Infinity}', False), ('{"event_type": "a", "x": "y, +INF \\" -INF"}', False)]
+    messages = spark.createDataFrame([r[:1] for r in rows], "value string")
+    bad = validate.parse(messages).select("value", validate.is_bad_json().alias("bad")).collect()
+    assert {r["value"]: r["bad"] for r in bad} == dict(rows)

@@ -27,19 +27,24 @@ def region_totals(rate: DataFrame, n: int = 12) -> DataFrame:
     return totals.orderBy("region", "event_type").limit(n)
 
 
-def severity_chart(severity: DataFrame, regions: Sequence[str]) -> DataFrame:
+def _listed(regions: Sequence[str] | None) -> list[str] | None:
+    """Regions of a chart; None takes all that the table holds, at the cost of a pass that looks for them."""
+    return None if regions is None else list(regions)
+
+
+def severity_chart(severity: DataFrame, regions: Sequence[str] | None = None) -> DataFrame:
     """Mean severity per window, one column per region; 0 where a region has none."""
-    return severity.groupBy("window_start").pivot("region", list(regions)).agg(F.avg("avg_severity")).na.fill(0.0)
+    return severity.groupBy("window_start").pivot("region", _listed(regions)).agg(F.avg("avg_severity")).na.fill(0.0)
 
 
-def beds_chart(beds: DataFrame, regions: Sequence[str]) -> DataFrame:
+def beds_chart(beds: DataFrame, regions: Sequence[str] | None = None) -> DataFrame:
     """Fewest beds per hour, one column per region; gaps stay NULL."""
-    return beds.groupBy("hour").pivot("region", list(regions)).agg(F.min("min_available_beds"))
+    return beds.groupBy("hour").pivot("region", _listed(regions)).agg(F.min("min_available_beds"))
 
 
-def risk_chart(risk: DataFrame, regions: Sequence[str]) -> DataFrame:
+def risk_chart(risk: DataFrame, regions: Sequence[str] | None = None) -> DataFrame:
     """Mean risk per hour, one column per region; gaps stay NULL."""
-    return risk.groupBy("hour").pivot("region", list(regions)).agg(F.avg("outbreak_risk_score"))
+    return risk.groupBy("hour").pivot("region", _listed(regions)).agg(F.avg("outbreak_risk_score"))
 
 
 def vaccination_totals(vaccination: DataFrame) -> DataFrame:

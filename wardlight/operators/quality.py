@@ -6,6 +6,8 @@ The single result row is then spread into check rows.
 
 from __future__ import annotations
 
+import re
+
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -59,11 +61,19 @@ def null_keys(columns: list[str]) -> Column:
     return F.expr(" OR ".join(f"`{name}` IS NULL" for name in columns))
 
 
+def _has_rule(df: DataFrame, table: str) -> bool:
+    """Whether the table has a domain rule, and the columns of that rule."""
+    if table not in DOMAIN_RULES:
+        return False
+    named = set(schemas.RESULT_SCHEMAS[table].fieldNames()) & set(re.findall(r"\w+", DOMAIN_RULES[table][1]))
+    return named <= set(df.columns)
+
+
 def table_stats(df: DataFrame, table: str, key_columns: list[str] | None = None) -> DataFrame:
     """One row: row_count, latest_timestamp, null_rows and bad_rows."""
     key_columns = key_columns or df.columns
     complete = set(key_columns) <= set(df.columns)
-    condition = DOMAIN_RULES[table][1] if table in DOMAIN_RULES and complete else "false"
+    condition = DOMAIN_RULES[table][1] if _has_rule(df, table) else "false"
     return df.agg(
         F.count("*").alias("row_count"),
         F.max(schemas.TIME_COLUMN[table]).alias("latest_timestamp"),
@@ -111,7 +121,7 @@ def _state_rows(
             )
         )
     checks += [f"CASE WHEN row_count > 0 THEN {check} END" for check in with_rows]
-    if domain and table in DOMAIN_RULES and not missing_columns:
+    if domain and _has_rule(df, table):
         checks.append(_domain_check(table))
     return _rows(stats, checks, as_of)
 
@@ -160,7 +170,7 @@ def domain_checks(spark: SparkSession, tables: dict[str, DataFrame | None], as_o
     frames = [
         _rows(table_stats(tables[name], name), [_domain_check(name)], as_of)
         for name in DOMAIN_RULES
-        if tables.get(name) is not None
+        if tables.get(name) is not None and _has_rule(tables[name], name)
     ]
     exists = tables.get("outbreak_predictions") is not None
     return _union([*frames, _prediction_check(spark, exists, as_of)])

@@ -90,7 +90,12 @@ def component_scores(features: DataFrame) -> DataFrame:
 def outbreak_risk(features: DataFrame) -> DataFrame:
     scored = component_scores(features).withColumn(
         "outbreak_risk_score",
-        scoring.risk_score(*[F.col(c) for c in features.columns if c not in KEYS]),
+        scoring.risk_score(
+            total_events=F.col("total_events"),
+            avg_severity=F.col("avg_severity"),
+            min_beds=F.col("min_available_beds"),
+            doses=F.col("vaccination_count"),
+        ),
     )
     return scored.withColumn("outbreak_risk_level", scoring.risk_level(F.col("outbreak_risk_score")))
 

@@ -42,7 +42,7 @@ def _with_enrichment() -> Column:
     trimmed = r"rtrim(' \t\n\r', value)"
     open_object = F.expr(f"left({trimmed}, length({trimmed}) - 1)")
     comma = F.when(open_object.rlike(r"^\s*\{\s*$"), F.lit("")).otherwise(F.lit(","))
-    appended = F.concat(open_object, comma, F.substring(added, 2, 2**30))
+    appended = F.concat(open_object, comma, F.substring(added, F.lit(2), F.length(added)))
     # a repeated name can make the rebuilding parse fail; the appended fields then count as the last of their name
     return F.when(_already_enriched(), F.coalesce(_rebuilt(), appended)).otherwise(appended)
 

@@ -66,8 +66,12 @@ def _text(name: str) -> str:
 
 
 def is_bad_json() -> Column:
-    """Not one JSON object: cut off, followed by other text, or another JSON value."""
-    return F.expr(
+    """Not one JSON object: cut off, followed by other text, another JSON value, or one with a number that JSON lacks.
+
+    The parser's NaN, Infinity and -Infinity are numbers here too, its +INF and -INF are not.
+    """
+    outside_text = r"""regexp_replace(value, '"([^"\\\\]|\\\\.)*"', '')"""
+    return F.expr(f"contains(value, 'INF') AND {outside_text} RLIKE '[+-]INF'") | F.expr(
         f"NOT coalesce(value RLIKE '^[ \\\\t\\\\n\\\\r]*[{{]' AND size(_json) = 2 AND get(_json, 1).`{_MARKER}`, false)"
     )
 

@@ -30,12 +30,16 @@ def refresh_analytics(spark: SparkSession, events: DataFrame, root: str) -> str:
 
 
 def read_rollup(spark: SparkSession, root: str) -> DataFrame:
-    version = store.current_version(spark, root, ROLLUP)
+    version = store.current_versions(spark, root)[ROLLUP]
     return spark.read.parquet(f"{root}/{ROLLUP}/version={version}")
 
 
-def read_analytics(spark: SparkSession, root: str, since=None, until=None) -> dict[str, DataFrame | None]:
-    return {table: store.read_table(spark, root, table, since, until) for table in ANALYTICS}
+def read_analytics(
+    spark: SparkSession, root: str, since=None, until=None, also: tuple[str, ...] = ()
+) -> dict[str, DataFrame | None]:
+    """The analytics tables, and those named in ``also``, as of one look at the commits."""
+    versions = store.current_versions(spark, root)
+    return {table: store.read_table(spark, root, table, since, until, versions) for table in [*ANALYTICS, *also]}
 
 
 def refresh_predictions(spark: SparkSession, root: str, as_of=None) -> str:
@@ -49,8 +53,7 @@ def record_checks(
     spark: SparkSession, root: str, as_of=None, stale_hours: int = settings.STALE_HOURS
 ) -> DataFrame:
     """Run the quality report on the current tables and append its rows to the history."""
-    current = read_analytics(spark, root)
-    current["outbreak_predictions"] = store.read_table(spark, root, "outbreak_predictions")
+    current = read_analytics(spark, root, also=("outbreak_predictions",))
     store.append_rows(quality.dq_report(spark, current, as_of, stale_hours), root, "data_quality_checks")
     return store.read_history(spark, root, "data_quality_checks")
 

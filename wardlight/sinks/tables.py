@@ -3,12 +3,13 @@
 Layout under ``root``::
 
     <table>/version=<v>/event_date=<d>/part-*.parquet   one directory per refresh
-    <table>_history/event_date=<d>/part-*.parquet       append-only tables
-    _commits/part-*.parquet                             one file per refresh: (version, table_name)
+    <table>_history/run=<v>/event_date=<d>/part-*       append-only tables, one directory per append
+    _commits/commit=<v>/part-*.parquet                  one directory per refresh: (version, table_name)
 
-A refresh writes new version directories and then one commit file. Readers follow the newest commit, so they see
-either all tables of the old refresh or all of the new one, and a refresh that fails half-way changes nothing. Only
-complete files become visible, and nothing is renamed or deleted, which suits object stores too.
+A refresh writes new version directories and then its commit. Commits are ordered by the time of the commit, so a
+refresh that starts early and ends late is current. A job reads the commits once (``current_versions``) and reads every
+table as of that map: all tables of one refresh or all of the next. A refresh that fails half-way changes nothing. No
+two jobs write into one directory, because Spark's committer stages files in the directory that it writes.
 """
 
 from __future__ import annotations
@@ -21,13 +22,14 @@ from datetime import datetime, timezone
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from wardlight import schemas
 from wardlight.functions.text import as_of_time
 
 PARTITION = "event_date"
-COMMIT_SCHEMA = "version string, table_name string"
+COMMIT_SCHEMA = "version string, table_name string, commit string"
+RUN = "run"
 
 
 def new_version() -> str:
@@ -61,7 +63,7 @@ def write_versions(results: Mapping[str, DataFrame], root: str, version: str) ->
 def commit(spark: SparkSession, root: str, tables: list[str], version: str) -> None:
     names = ", ".join(f"'{table}'" for table in tables)
     rows = spark.range(1, numPartitions=1).selectExpr(f"'{version}' AS version", f"explode(array({names})) AS table_name")
-    rows.write.mode("append").parquet(f"{root}/_commits")
+    rows.write.parquet(f"{root}/_commits/commit={new_version()}")
 
 
 def refresh_tables(spark: SparkSession, root: str, results: Mapping[str, DataFrame]) -> str:
@@ -72,33 +74,37 @@ def refresh_tables(spark: SparkSession, root: str, results: Mapping[str, DataFra
     return version
 
 
-def current_version(spark: SparkSession, root: str, table: str) -> str | None:
+def current_versions(spark: SparkSession, root: str) -> dict[str, str]:
+    """The version of each table that is current now, from one read of the commits."""
     try:
         commits = spark.read.schema(COMMIT_SCHEMA).parquet(f"{root}/_commits")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return None
-    return commits.where(F.col("table_name") == table).agg(F.max("version")).first()[0]
+        return {}
+    rows = commits.groupBy("table_name").agg(F.max_by("version", "commit").alias("version")).collect()
+    return {row["table_name"]: row["version"] for row in rows}
 
 
 def _read(spark: SparkSession, path: str, table: str, since, until) -> DataFrame:
     """Rows of a table; a time range is also put on the date partitions, so other dates are not read."""
     time = F.col(schemas.TIME_COLUMN[table])
-    stored = StructType([*schemas.RESULT_SCHEMAS[table].fields, StructField(PARTITION, DateType())])
-    df = spark.read.schema(stored).parquet(path)
+    stored = [*schemas.RESULT_SCHEMAS[table].fields, StructField(RUN, StringType()), StructField(PARTITION, DateType())]
+    df = spark.read.schema(StructType(stored)).parquet(path)
     if since is not None:
         start = as_of_time(since)
         df = df.where((time >= start) & (F.col(PARTITION) >= F.to_date(start)))
     if until is not None:
         end = as_of_time(until)
         df = df.where((time < end) & (F.col(PARTITION) <= F.to_date(end)))
-    return df.drop(PARTITION)
+    return df.drop(PARTITION, RUN)
 
 
-def read_table(spark: SparkSession, root: str, table: str, since=None, until=None) -> DataFrame | None:
-    """The current contents of a table, or None if it was never written."""
-    version = current_version(spark, root, table)
+def read_table(
+    spark: SparkSession, root: str, table: str, since=None, until=None, versions: Mapping[str, str] | None = None
+) -> DataFrame | None:
+    """The contents of a table as of ``versions`` (by default the current ones), or None if it was never written."""
+    version = (current_versions(spark, root) if versions is None else versions).get(table)
     if version is None:
         return None
     return _read(spark, f"{root}/{table}/version={version}", table, since, until)
@@ -106,7 +112,7 @@ def read_table(spark: SparkSession, root: str, table: str, since=None, until=Non
 
 def append_rows(df: DataFrame, root: str, table: str) -> None:
     """Add rows to an append-only table such as the history of quality checks."""
-    _write(df, table, f"{root}/{table}_history", "append")
+    _write(df, table, f"{root}/{table}_history/{RUN}={new_version()}", "errorifexists")
 
 
 def read_history(spark: SparkSession, root: str, table: str, since=None, until=None) -> DataFrame | None:
@@ -142,5 +148,5 @@ def write_jdbc(
     parallel and commit one by one, so unlike ``refresh_tables`` this is not atomic.
     """
     mode = "overwrite" if refresh else "append"
-    writer = conform(df, table).coalesce(writers).write.mode(mode).option("truncate", str(refresh).lower())
+    writer = conform(df, table).repartition(writers).write.mode(mode).option("truncate", str(refresh).lower())
     writer.option("batchsize", "10000").jdbc(url, table, properties=dict(properties))

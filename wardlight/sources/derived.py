@@ -93,7 +93,7 @@ def derive(source: DataFrame, regions: DataFrame, types: Sequence[str] | None =
         source = source.where(F.col("event_type").isin([SOURCE_TYPE[t] for t in types]))
     return (
         source.selectExpr("*", "try_cast(get_json_object(props, '$.k') AS INT) AS k")
-        .join(regions, F.expr("user_id % 5 = r_regionkey"))
+        .join(regions, F.expr("pmod(user_id, 5) = r_regionkey"), "left")
         .selectExpr(*[f"{expression} AS {name}" for name, expression in EVENT_EXPRESSIONS.items()])
     )
 

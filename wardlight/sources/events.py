@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,14 +98,14 @@ def read_optional_events(
         messages = read()
         messages.isEmpty()
         return scan_events(messages, schema)
-    except PySparkException as error:
+    except (PySparkException, Py4JJavaError) as error:
         if not _source_is_missing(error):
             raise
         log.warning("optional source for %s is missing; continuing without it", event_type)
         return empty_events(spark, schema)
 
 
-def _source_is_missing(error: PySparkException) -> bool:
+def _source_is_missing(error: PySparkException | Py4JJavaError) -> bool:
     if isinstance(error, AnalysisException):
         return error.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
     return "UnknownTopicOrPartition" in str(error)
