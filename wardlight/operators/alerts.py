@@ -35,26 +35,35 @@ def _alerts(rows: DataFrame, order: int, metric, time, value, region, message: C
     )
 
 
-def top_event_rate(rate: DataFrame, n: int = DEFAULTS.scan_rows) -> DataFrame:
-    return rate.orderBy(F.desc("hour"), F.desc("event_count"), "region", "event_type").limit(n)
+def _first(rows: DataFrame, n: int | None, *order) -> DataFrame:
+    """The first ``n`` rows in an order; all rows, unsorted, if there is no limit."""
+    return rows if n is None else rows.orderBy(*order).limit(n)
 
 
-def top_severity(severity: DataFrame, n: int = DEFAULTS.scan_rows) -> DataFrame:
-    return severity.orderBy(F.desc("window_start"), F.desc("avg_severity"), "region", "event_type").limit(n)
+def top_event_rate(rate: DataFrame, n: int | None = DEFAULTS.scan_rows) -> DataFrame:
+    return _first(rate, n, F.desc("hour"), F.desc("event_count"), "region", "event_type")
 
 
-def top_bed_pressure(beds: DataFrame, n: int = DEFAULTS.scan_rows) -> DataFrame:
-    return beds.orderBy(F.desc("hour"), "min_available_beds", "region").limit(n)
+def top_severity(severity: DataFrame, n: int | None = DEFAULTS.scan_rows) -> DataFrame:
+    return _first(severity, n, F.desc("window_start"), F.desc("avg_severity"), "region", "event_type")
+
+
+def top_bed_pressure(beds: DataFrame, n: int | None = DEFAULTS.scan_rows) -> DataFrame:
+    return _first(beds, n, F.desc("hour"), "min_available_beds", "region")
 
 
 def vaccination_latest_hour(vaccination: DataFrame) -> DataFrame:
-    # a global aggregate is one row, whatever the table holds
-    latest = F.broadcast(vaccination.agg(F.max("hour").alias("hour")))
-    return (
-        vaccination.join(latest, "hour")
-        .groupBy("hour", "region", "vaccine_type")
-        .agg(F.sum("vaccination_count").alias("doses"))
+    """Doses per region and vaccine in the table's newest hour, from one read of the table.
+
+    A pair of region and vaccine has doses in the newest hour only if that is its own newest hour, so the hours are
+    reduced to one row per pair first. The window without keys sees those rows alone: regions x vaccines.
+    """
+    hourly = vaccination.groupBy("hour", "region", "vaccine_type").agg(F.sum("vaccination_count").alias("doses"))
+    newest = hourly.groupBy("region", "vaccine_type").agg(
+        F.max("hour").alias("hour"), F.max_by("doses", "hour").alias("doses")
     )
+    latest = newest.withColumn("latest", F.max("hour").over(Window.partitionBy(F.lit(0))))
+    return latest.where(F.col("hour") == F.col("latest")).select("hour", "region", "vaccine_type", "doses")
 
 
 def event_rate_alerts(rate: DataFrame, limits: settings.AlertThresholds = DEFAULTS) -> DataFrame:
@@ -102,12 +111,9 @@ def bed_alerts(beds: DataFrame, limits: settings.AlertThresholds = DEFAULTS) ->
 def vaccination_alerts(vaccination: DataFrame, limits: settings.AlertThresholds = DEFAULTS) -> DataFrame:
     doses = F.col("doses")
     low, surge = doses <= limits.vaccination_low, doses >= limits.vaccination_surge
-    rows = (
-        vaccination_latest_hour(vaccination)
-        .orderBy("doses", "region", "vaccine_type")
-        .limit(limits.scan_rows)
-        .withColumn("level", F.when(low, "warning").when(surge, "info"))
-    )
+    rows = _first(
+        vaccination_latest_hour(vaccination), limits.scan_rows, "doses", "region", "vaccine_type"
+    ).withColumn("level", F.when(low, "warning").when(surge, "info"))
     metric = F.when(low, "vaccination_low").otherwise("vaccination_surge")
     message = _text(
         F.when(low, "Only ").otherwise(""),
@@ -124,11 +130,9 @@ def data_quality_alerts(
     checks: DataFrame, as_of=None, limits: settings.AlertThresholds = DEFAULTS
 ) -> DataFrame:
     recent = F.col("checked_at") >= as_of_time(as_of) - F.expr("INTERVAL 12 HOURS")
-    rows = (
-        checks.where(recent & F.col("status").isin("WARN", "FAIL"))
-        .orderBy(F.desc("checked_at"), "check_name", "table_name")
-        .limit(limits.scan_rows)
-        .withColumn("level", F.when(F.col("status") == "FAIL", "critical").otherwise("warning"))
+    bad = checks.where(recent & F.col("status").isin("WARN", "FAIL"))
+    rows = _first(bad, limits.scan_rows, F.desc("checked_at"), "check_name", "table_name").withColumn(
+        "level", F.when(F.col("status") == "FAIL", "critical").otherwise("warning")
     )
     region = F.coalesce(F.nullif("table_name", F.lit("")), F.lit("pipeline"))
     message = _text(
@@ -168,6 +172,7 @@ def alert_feed(
             freshness_alerts(tables["hourly_event_rate"], as_of, limits),
         ],
     )
-    # a check has at most ``scan_rows`` alerts, so these windows stay small
+    # a check has at most ``scan_rows`` alerts, so these windows stay small; without that limit their size is the
+    # number of alerts of one check
     within_check = Window.partitionBy("check_order").orderBy(F.desc("event_time"), "sort_value", "region", "message")
     return union.withColumn("position", F.row_number().over(within_check))

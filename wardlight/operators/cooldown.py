@@ -12,8 +12,12 @@ time line of each key is cut into spans no shorter than the cooldown:
 3. Every span marks its emissions from that starting point.
 
 Steps 1 and 3 distribute (key, span) pairs and hold one entry per distinct time; a task handles all its spans in one
-vectorised pass per batch. Step 2 holds a few rows per span: a number set by the calendar and the length of a cooldown,
-not by the number of alerts.
+vectorised pass per batch. Step 2 brings the tables of one key together. A span's table has at most one row per distinct
+time within a cooldown of the span's start. Alerts are found by polls, so a key has at most one time per poll, and step 2
+at most one row per poll of a key: 1,440 a day at one poll a minute, however many alerts there are. ``at_polls`` puts
+alerts that carry other times on the polls that find them; without it, step 2 grows with the distinct times of a key.
+
+``suppress_logged`` is the same rule for one poll that remembers earlier polls in a stored log.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardlight import settings
@@ -42,16 +46,26 @@ def _span_functions(cooldown: int, span_length: int):
 
     def whole_spans(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
         """Frames of complete (key, span) pairs from sorted batches, with the number of each row's pair."""
-        held = None
+        held: list[pd.DataFrame] = []  # batches of a pair that may go on; joined once, when it has ended
         for batch in batches:
-            frame = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            starts = pair_starts(frame)
-            last_pair = int(np.flatnonzero(starts)[-1]) if len(frame) else 0
-            held = frame.iloc[last_pair:].reset_index(drop=True)
-            if last_pair:
-                yield frame.iloc[:last_pair], np.cumsum(starts[:last_pair]) - 1
-        if held is not None and len(held):
-            yield held, np.zeros(len(held), dtype="int64")
+            if not len(batch):
+                continue
+            starts = pair_starts(batch)
+            if held:
+                before, first = held[-1].iloc[-1], batch.iloc[0]
+                starts[0] = before["key"] != first["key"] or before["span"] != first["span"]
+            borders = np.flatnonzero(starts)
+            if not len(borders):
+                held.append(batch)
+                continue
+            ended = held + ([batch.iloc[: borders[-1]]] if borders[-1] else [])
+            held = [batch.iloc[borders[-1] :]]
+            if ended:
+                frame = pd.concat(ended, ignore_index=True)
+                yield frame, np.cumsum(pair_starts(frame)) - 1
+        if held:
+            frame = pd.concat(held, ignore_index=True)
+            yield frame, np.zeros(len(frame), dtype="int64")
 
     def pair_starts(frame: pd.DataFrame) -> np.ndarray:
         keys, spans = pd.factorize(frame["key"])[0], frame["span"].to_numpy()
@@ -166,3 +180,35 @@ def suppress_repeats(
     same_alert = (one_key == F.col("_key")) & (at == F.col("_at")) & (F.col(sequence) == F.col("_first"))
     status = F.when(F.col("_key").isNotNull(), "EMITTED").otherwise("SUPPRESSED")
     return alerts.join(emitted, same_alert, "left").select(*alerts.columns, status.alias("status"))
+
+
+def at_polls(alerts: DataFrame, poll_seconds: int, time: str = "polled_at") -> DataFrame:
+    """Alerts with the time of the poll that finds them: the first poll at or after their own time.
+
+    Polls run every ``poll_seconds`` from the epoch on. A missing time stays missing.
+    """
+    at, step = F.unix_micros(F.col(time).cast("timestamp")), F.lit(poll_seconds * 1_000_000)
+    return alerts.withColumn(time, F.timestamp_micros(at + F.pmod(-at, step)).cast(alerts.schema[time].dataType))
+
+
+def suppress_logged(
+    alerts: DataFrame,
+    log: DataFrame,
+    cooldown_seconds: int = settings.COOLDOWN_SECONDS,
+    key: Sequence[str] = ALERT_KEY,
+    time: str = "polled_at",
+    sequence: Sequence[str] = ("check_order", "position"),
+) -> DataFrame:
+    """Add ``status`` to the alerts of one poll, given the log of earlier polls.
+
+    Of the alerts of one key, the first by ``sequence`` is emitted if the log holds no emission of that key within the
+    cooldown. The log is reduced to one row per key before the join; the window is over the alerts of one poll.
+    """
+    emitted = log.where(F.col("status") == "EMITTED")
+    last = emitted.groupBy(*[F.col(name).alias(f"_{name}") for name in key]).agg(F.max(time).alias("_last"))
+    ordered = alerts.withColumn("_place", F.row_number().over(Window.partitionBy(*key).orderBy(*sequence)))
+    same_key = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in key]
+    passed = F.unix_micros(F.col(time)) - F.unix_micros("_last")
+    free = F.col("_last").isNull() | (passed >= cooldown_seconds * 1_000_000)
+    status = F.when((F.col("_place") == 1) & free, "EMITTED").otherwise("SUPPRESSED")
+    return ordered.join(last, same_key, "left").select(*alerts.columns, status.alias("status"))

@@ -10,6 +10,7 @@ import re
 
 AS_OF = "TIMESTAMP '2024-01-31 12:00:00'"
 EARLIER_CHECK, LATER_CHECK = "TIMESTAMP '2024-01-30 23:30:00'", "TIMESTAMP '2024-01-31 08:21:00'"
+POLLS = [f"TIMESTAMP '2024-01-31 {time}:00'" for time in ("11:20", "11:24", "11:25", "12:00")]
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 ROUTABLE = "('symptom_report', 'clinic_visit', 'hospital_admission', 'vaccination_record')"
 
@@ -332,24 +333,68 @@ CTES = {
 }
 
 
-def _used(body: str) -> list[str]:
+def _used(body: str, ctes: dict[str, str]) -> list[str]:
     needed: set[str] = set()
     pending = [body]
     while pending:
         text = pending.pop()
-        for name in CTES:
+        for name in ctes:
             if name not in needed and re.search(rf"\b(?:FROM|JOIN)\s+{name}\b", text):
                 needed.add(name)
-                pending.append(CTES[name])
-    return [name for name in CTES if name in needed]
+                pending.append(ctes[name])
+    return [name for name in ctes if name in needed]
 
 
-def _sql(body: str) -> str:
-    used = _used(body)
+def _sql(body: str, ctes: dict[str, str] = CTES) -> str:
+    used = _used(body, ctes)
     if not used:
         return body
-    recursive = "RECURSIVE " if "emitted" in used else ""
-    return f"WITH {recursive}" + ",\n".join(f"{name} AS ({CTES[name]})" for name in used) + f"\n{body}"
+    recursive = "RECURSIVE " if any(name.endswith("emitted") for name in used) else ""
+    return f"WITH {recursive}" + ",\n".join(f"{name} AS ({ctes[name]})" for name in used) + f"\n{body}"
+
+
+def _from_raw() -> dict[str, str]:
+    """The expressions over the events that a run from raw messages stores: the valid ones that have a target."""
+    judging = ["ev", "raw_all", "raw", "judged", "verdicts", "valid"]
+    changed = {name: CTES[name] for name in judging}
+    changed["stored"] = f"SELECT * FROM valid WHERE event_type IN {ROUTABLE}"
+    for name, text in CTES.items():
+        if name not in judging:
+            changed[name] = re.sub(r"\bFROM ev\b", "FROM stored", text)
+    return changed
+
+
+def _polled() -> dict[str, str]:
+    """Bed alerts at the first full minute at or after their own time."""
+    minute = "make_timestamp((epoch_us(polled_at) + 59999999) // 60000000 * 60000000)"
+    return {**CTES, "bed_events": f"SELECT * REPLACE ({minute} AS polled_at) FROM ({CTES['bed_events']})"}
+
+
+def _cycle() -> dict[str, str]:
+    """The feed of every poll, and the polls at which each key is emitted."""
+    feeds = []
+    for poll in POLLS:
+        checks = CTES["quality_alerts"].replace(AS_OF, poll)
+        feed = _STATEMENTS["alert_feed"].replace(AS_OF, poll).replace("FROM quality_alerts", f"FROM ({checks})")
+        feeds.append(f"SELECT {poll} AS polled_at, * FROM ({feed})")
+    return {
+        **CTES,
+        "cycle_feed": """
+            SELECT *, row_number() OVER (PARTITION BY polled_at, level, metric, region
+                                         ORDER BY check_order, position) AS place
+            FROM (%s)""" % " UNION ALL ".join(feeds),
+        "cycle_following": """
+            SELECT *, min(polled_at) OVER (PARTITION BY level, metric, region ORDER BY polled_at
+                                           RANGE BETWEEN INTERVAL 300 SECOND FOLLOWING AND UNBOUNDED FOLLOWING)
+                       AS next_at
+            FROM cycle_feed WHERE place = 1""",
+        "cycle_emitted": """
+            SELECT level, metric, region, min(polled_at) AS polled_at FROM cycle_feed GROUP BY ALL
+            UNION ALL
+            SELECT f.level, f.metric, f.region, f.next_at
+            FROM cycle_emitted e JOIN cycle_following f USING (level, metric, region, polled_at)
+            WHERE f.next_at IS NOT NULL""",
+    }
 
 
 def _pivot(
@@ -391,6 +436,14 @@ _STATEMENTS = {
     "clean_events": """
         SELECT "offset", "timestamp", event_type, region FROM raw
         WHERE time_text <> 'not-a-time' AND region IS NOT NULL""",
+    "optional_source_present": f"""
+        SELECT date_trunc('hour', "timestamp") AS hour, event_type, region, count(*) AS event_count
+        FROM (SELECT "timestamp", event_type, region FROM ev
+              WHERE event_type IN {ROUTABLE} AND event_type <> 'vaccination_record'
+              UNION ALL
+              SELECT "timestamp", event_type, region FROM raw
+              WHERE {VACCINATION_ROWS} AND time_text <> 'not-a-time' AND region IS NOT NULL)
+        GROUP BY ALL""",
     "optional_source_empty": "SELECT * FROM hourly_event_rate WHERE event_type <> 'vaccination_record'",
     "union_events": f"""SELECT "timestamp", event_type, region FROM ev WHERE event_type IN {ROUTABLE}""",
     "sample_events": f"""SELECT "offset" FROM ev WHERE {VACCINATION_ROWS} ORDER BY "offset" LIMIT 5""",
@@ -573,6 +626,14 @@ _STATEMENTS = {
         SELECT * FROM data_quality_checks ORDER BY checked_at DESC, table_name, check_name LIMIT 12""",
     # stored tables
     "sink_full_refresh": "SELECT * FROM states",
+    "stored_hourly_event_rate": f"{RATE_TABLE} ORDER BY hour, region, event_type",
+    "stored_severity_trend": "SELECT * FROM severity_trend ORDER BY window_start, region, event_type",
+    "stored_bed_availability": "SELECT * FROM bed_availability ORDER BY hour, region",
+    "stored_vaccination_trend": "SELECT * FROM vaccination_trend ORDER BY hour, region, vaccine_type, dose_number",
+    "stored_outbreak_predictions": "SELECT * FROM outbreak_predictions ORDER BY predicted_at, hour, region",
+    "stored_data_quality_checks": "SELECT * FROM data_quality_checks ORDER BY checked_at, table_name, check_name",
+    "retention_clean_up": f"""
+        SELECT * FROM hourly_event_rate WHERE NOT hour < date_trunc('day', {AS_OF} - INTERVAL 7 DAY)""",
     "pipeline_refresh": RATE_TABLE,
     "pipeline_refresh_state": "SELECT * FROM states",
     "predictions_refresh": "SELECT * FROM outbreak_predictions",
@@ -599,4 +660,15 @@ _STATEMENTS = {
         SELECT level, 'bed_availability' AS metric, region, polled_at AS emitted_at FROM emitted""",
 }
 
-ORACLES = {name: _sql(body) for name, body in _STATEMENTS.items()}
+ORACLES = {name: _sql(body) for name, body in _STATEMENTS.items()} | {
+    "pipeline_from_raw": _sql("SELECT * FROM outbreak_predictions", _from_raw()),
+    "alert_cooldown_polled": _sql(_STATEMENTS["alert_cooldown"], _polled()),
+    "alert_cycle": _sql(
+        """
+        SELECT f.* EXCLUDE (place),
+               CASE WHEN place = 1 AND e.polled_at IS NOT NULL THEN 'EMITTED' ELSE 'SUPPRESSED' END AS status
+        FROM cycle_feed f LEFT JOIN cycle_emitted e
+            ON (f.level, f.metric, f.region, f.polled_at) = (e.level, e.metric, e.region, e.polled_at)""",
+        _cycle(),
+    ),
+}

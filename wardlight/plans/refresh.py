@@ -1,16 +1,21 @@
-"""Jobs over stored tables: analytics refresh, predictions, quality history."""
+"""Jobs over stored tables: raw messages to results, analytics refresh, predictions, quality history, alert polls."""
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
-from wardlight import settings
+from wardlight import schemas, settings
 from wardlight.functions.text import as_of_time
-from wardlight.operators import aggregates, alerts, quality, risk
+from wardlight.operators import aggregates, alerts, cooldown, quality, risk, route, validate
 from wardlight.sinks import tables as store
+from wardlight.sources import events as source
 
 ROLLUP = "_rollup"
+EVENTS = "_events"
 ANALYTICS = ["hourly_event_rate", "severity_trend", "bed_availability", "vaccination_trend"]
 
 
@@ -29,8 +34,33 @@ def refresh_analytics(spark: SparkSession, events: DataFrame, root: str) -> str:
     return version
 
 
-def read_rollup(spark: SparkSession, root: str) -> DataFrame:
-    version = store.current_versions(spark, root)[ROLLUP]
+def results_from_raw(
+    spark: SparkSession,
+    messages: DataFrame,
+    root: str,
+    team_id: str,
+    as_of=None,
+    stale_hours: int = settings.STALE_HOURS,
+) -> str:
+    """One snapshot of raw messages to all result tables; returns the folder of the stored events.
+
+    Valid messages are enriched, those with a target stream are decoded and stored by date and type, and the result
+    tables are computed from that storage: the messages are read and parsed once, whatever is derived from them.
+    """
+    targeted = route.with_target(validate.valid_messages(messages.select("value")), team_id, as_of)
+    typed = source.scan_events(route.route_events(targeted).select("value"), schemas.merged_event_schema())
+    path = f"{root}/{EVENTS}/run={store.new_version()}"
+    store.write_events(typed, path)
+    # declared, so that a snapshot without a valid message can be read too
+    stored = StructType([*typed.schema.fields, StructField(store.PARTITION, DateType())])
+    refresh_analytics(spark, spark.read.schema(stored).parquet(path), root)
+    refresh_predictions(spark, root, as_of)
+    record_checks(spark, root, as_of, stale_hours)
+    return path
+
+
+def read_rollup(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
+    version = version or store.current_versions(spark, root)[ROLLUP]
     return spark.read.parquet(f"{root}/{ROLLUP}/version={version}")
 
 
@@ -43,9 +73,17 @@ def read_analytics(
 
 
 def refresh_predictions(spark: SparkSession, root: str, as_of=None) -> str:
-    """Score the current analytics tables and replace the predictions."""
-    current = read_analytics(spark, root)
-    features = risk.joined_features(*[current[table] for table in ANALYTICS])
+    """Score the current analytics tables and replace the predictions.
+
+    Where one refresh wrote all of them, its rollup gives the features from one read and without joins.
+    """
+    versions = store.current_versions(spark, root)
+    if len({versions.get(table) for table in [*ANALYTICS, ROLLUP]}) == 1 and ROLLUP in versions:
+        features = risk.features_from_rollup(read_rollup(spark, root, versions[ROLLUP]))
+    else:
+        features = risk.joined_features(
+            *[store.read_table(spark, root, table, versions=versions) for table in ANALYTICS]
+        )
     return store.refresh_tables(spark, root, {"outbreak_predictions": risk.predictions(features, as_of)})
 
 
@@ -63,11 +101,36 @@ def poll_alerts(
 ) -> DataFrame:
     """One poll of all alert checks on the stored tables.
 
-    Of the check history only the dates that can raise an alert are read.
+    Of every table only the dates that can raise an alert are read: the newest ones that hold the rows a check looks
+    at, the newest one of the vaccinations, and the last twelve hours of the check history.
     """
-    current = read_analytics(spark, root)
+    versions = store.current_versions(spark, root)
+    needed = {table: 1 if table == "vaccination_trend" else limits.scan_rows for table in ANALYTICS}
+    current = {table: store.read_newest(spark, root, table, rows, versions) for table, rows in needed.items()}
     recent = as_of_time(as_of) - F.expr("INTERVAL 12 HOURS")
     checks = store.read_history(spark, root, "data_quality_checks", since=recent)
     if checks is None:
-        checks = spark.createDataFrame([], store.schemas.RESULT_SCHEMAS["data_quality_checks"])
+        checks = spark.createDataFrame([], schemas.RESULT_SCHEMAS["data_quality_checks"])
     return alerts.alert_feed({**current, "data_quality_checks": checks}, as_of, limits)
+
+
+def alert_cycle(
+    spark: SparkSession,
+    root: str,
+    as_of=None,
+    limits: settings.AlertThresholds = alerts.DEFAULTS,
+    cooldown_seconds: int = settings.COOLDOWN_SECONDS,
+) -> DataFrame:
+    """One poll that remembers earlier ones: its alerts are added to the log as EMITTED or SUPPRESSED and returned.
+
+    Of the log only the dates and rows within the cooldown are read. Polls of one ``root`` run one after the other; a
+    poll that fails has logged nothing and can be repeated.
+    """
+    moment = as_of_time(datetime.now(timezone.utc) if as_of is None else as_of)
+    feed = poll_alerts(spark, root, moment, limits).withColumn("polled_at", moment)
+    log = store.read_history(spark, root, "alert_log", since=moment - F.expr(f"INTERVAL {int(cooldown_seconds)} SECONDS"))
+    if log is None:
+        log = spark.createDataFrame([], schemas.RESULT_SCHEMAS["alert_log"])
+    store.append_rows(cooldown.suppress_logged(feed, log, cooldown_seconds), root, "alert_log")
+    logged = store.read_history(spark, root, "alert_log", since=moment)
+    return logged.where(F.col("polled_at") == moment)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql.types import TimestampType
 from wardlight import schemas, settings
 from wardlight.functions import scoring
 from wardlight.operators import aggregates, alerts, charts, quality, reports, risk, route, validate
-from wardlight.operators.cooldown import suppress_repeats
+from wardlight.operators.cooldown import at_polls, suppress_repeats
 from wardlight.plans import refresh
 from wardlight.session import configure, work_dir
 from wardlight.sinks import tables as store
@@ -34,15 +35,17 @@ BED_LIMITS = settings.BedWarningThresholds(
     beds_warning=150, beds_critical=60, admissions_warning=2, admissions_critical=3
 )
 COOLDOWN = 6 * 3600
+POLL_SECONDS = 60
+POLLS = ["2024-01-31 11:20:00", "2024-01-31 11:24:00", "2024-01-31 11:25:00", "2024-01-31 12:00:00"]
 
 QUERIES: dict[str, Query] = {}
 
 
-def query(fn: Query) -> Query:
+def query(fn: Query, name: str | None = None) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _plain_times(fn(configure(spark), sf_dir))
 
-    QUERIES[fn.__name__] = run
+    QUERIES[name or fn.__name__] = run
     return fn
 
 
@@ -132,8 +135,21 @@ def _checks(spark, sf_dir) -> DataFrame:
     )
 
 
+def _stored(spark, sf_dir, name: str) -> str:
+    """A folder with all six result tables, written from one read of the events."""
+    root = work_dir(spark, name)
+    refresh.refresh_analytics(spark, events.clean(_typed(spark, sf_dir)), root)
+    refresh.refresh_predictions(spark, root, AS_OF)
+    refresh.record_checks(spark, root, EARLIER_CHECK)
+    refresh.record_checks(spark, root, LATER_CHECK)
+    return root
+
+
 def _all_tables(spark, sf_dir) -> dict[str, DataFrame]:
-    return {**_with_predictions(spark, sf_dir), "data_quality_checks": _checks(spark, sf_dir)}
+    """The six result tables as stored."""
+    root = _stored(spark, sf_dir, "all-tables")
+    tables = refresh.read_analytics(spark, root, also=("outbreak_predictions",))
+    return {**tables, "data_quality_checks": store.read_history(spark, root, "data_quality_checks")}
 
 
 # --- sources -----------------------------------------------------------------------------------------------------
@@ -168,6 +184,17 @@ def optional_source_empty(spark, sf_dir):
     return aggregates.hourly_event_rate(typed, optional)
 
 
+@query
+def optional_source_present(spark, sf_dir):
+    path = f"{work_dir(spark, 'optional')}/vaccination_records"
+    derived.with_faults(_typed(spark, sf_dir, schemas.VACCINATION)).write.parquet(path)
+    optional = events.read_optional_events(
+        spark, schemas.VACCINATION, lambda: events.read_messages(spark, "parquet", path)
+    )
+    typed = _typed(spark, sf_dir, schemas.SYMPTOM, schemas.CLINIC, schemas.HOSPITAL)
+    return aggregates.hourly_event_rate(typed, optional)
+
+
 @query
 def union_events(spark, sf_dir):
     return events.union_streams(*[_typed(spark, sf_dir, event_type) for event_type in schemas.EVENT_TYPES])
@@ -185,7 +212,7 @@ def scan_result_tables(spark, sf_dir):
     for table, df in _all_tables(spark, sf_dir).items():
         region = F.col("region") if "region" in df.columns else F.lit(None).cast("string")
         scans.append(
-            store.scan_result_table(df, table).select(
+            df.select(
                 F.lit(table).alias("table_name"),
                 F.col(schemas.TIME_COLUMN[table]).alias("row_time"),
                 region.alias("region"),
@@ -194,6 +221,17 @@ def scan_result_tables(spark, sf_dir):
     return reduce(DataFrame.unionByName, scans)
 
 
+def _scan_of(table: str) -> Query:
+    def scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return store.scan_result_table(_all_tables(spark, sf_dir)[table], table)
+
+    return scan
+
+
+for _table in (*refresh.ANALYTICS, "outbreak_predictions", "data_quality_checks"):
+    query(_scan_of(_table), f"stored_{_table}")
+
+
 # --- validation and routing --------------------------------------------------------------------------------------
 
 
@@ -518,7 +556,15 @@ def alert_pipeline_freshness(spark, sf_dir):
 
 @query
 def alert_feed(spark, sf_dir):
-    return alerts.alert_feed(_all_tables(spark, sf_dir), AS_OF, ALERT_LIMITS)
+    return refresh.poll_alerts(spark, _stored(spark, sf_dir, "poll"), AS_OF, ALERT_LIMITS)
+
+
+@query
+def alert_cycle(spark, sf_dir):
+    root = _stored(spark, sf_dir, "cycle")
+    for moment in POLLS:
+        refresh.alert_cycle(spark, root, moment, ALERT_LIMITS)
+    return store.read_history(spark, root, "alert_log")
 
 
 def _bed_event_alerts(hospital: DataFrame) -> DataFrame:
@@ -540,6 +586,12 @@ def alert_cooldown(spark, sf_dir):
     return suppress_repeats(_bed_event_alerts(_typed(spark, sf_dir, schemas.HOSPITAL)), COOLDOWN)
 
 
+@query
+def alert_cooldown_polled(spark, sf_dir):
+    found = at_polls(_bed_event_alerts(_typed(spark, sf_dir, schemas.HOSPITAL)), POLL_SECONDS)
+    return suppress_repeats(found, COOLDOWN)
+
+
 # --- reports -----------------------------------------------------------------------------------------------------
 
 
@@ -689,6 +741,24 @@ def dq_history_append(spark, sf_dir):
     return refresh.record_checks(spark, root, LATER_CHECK)
 
 
+@query
+def pipeline_from_raw(spark, sf_dir):
+    root = work_dir(spark, "from-raw")
+    _raw(spark, sf_dir).write.parquet(f"{root}/raw")
+    messages = events.read_messages(spark, "parquet", f"{root}/raw")
+    refresh.results_from_raw(spark, messages, f"{root}/tables", TEAM, AS_OF)
+    return store.read_table(spark, f"{root}/tables", "outbreak_predictions")
+
+
+@query
+def retention_clean_up(spark, sf_dir):
+    root = work_dir(spark, "retention")
+    for _ in range(2):
+        refresh.refresh_analytics(spark, events.clean(_typed(spark, sf_dir)), root)
+    store.clean_up(spark, root, AS_OF, grace=timedelta(0))
+    return store.read_table(spark, root, "hourly_event_rate")
+
+
 # --- streams -----------------------------------------------------------------------------------------------------
 
 

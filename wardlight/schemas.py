@@ -114,6 +114,18 @@ RESULT_SCHEMAS = {
         ("latest_timestamp", TS),
         ("message", S),
     ),
+    "alert_log": _struct(
+        ("check_order", I, REQUIRED),
+        ("event_time", TS),
+        ("sort_value", D),
+        ("level", S, REQUIRED),
+        ("metric", S, REQUIRED),
+        ("region", S),
+        ("message", S),
+        ("position", I, REQUIRED),
+        ("polled_at", TS, REQUIRED),
+        ("status", S, REQUIRED),
+    ),
 }
 
 TIME_COLUMN = {
@@ -123,6 +135,7 @@ TIME_COLUMN = {
     "vaccination_trend": "hour",
     "outbreak_predictions": "predicted_at",
     "data_quality_checks": "checked_at",
+    "alert_log": "polled_at",
 }
 
 # Row order in which each table is shown.
@@ -133,4 +146,5 @@ PRESENTATION_ORDER = {
     "vaccination_trend": ["hour", "region", "vaccine_type", "dose_number"],
     "outbreak_predictions": ["hour", "region"],
     "data_quality_checks": ["checked_at", "table_name", "check_name"],
+    "alert_log": ["polled_at", "check_order", "position"],
 }

@@ -9,6 +9,7 @@ from wardlight import schemas
 # Fixed values.
 STALE_HOURS = 8
 COOLDOWN_SECONDS = 300
+RETENTION_DAYS = 7
 EVENT_SOURCE = "event-generator"
 
 
@@ -23,7 +24,7 @@ class AlertThresholds:
     vaccination_low: int = 1
     vaccination_surge: int = 30
     stale_hours: int = STALE_HOURS
-    scan_rows: int = 20
+    scan_rows: int | None = 20  # newest rows a check looks at; None for all rows
 
 
 @dataclass(frozen=True)

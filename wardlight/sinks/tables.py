@@ -10,6 +10,7 @@ A refresh writes new version directories and then its commit. Commits are ordere
 refresh that starts early and ends late is current. A job reads the commits once (``current_versions``) and reads every
 table as of that map: all tables of one refresh or all of the next. A refresh that fails half-way changes nothing. No
 two jobs write into one directory, because Spark's committer stages files in the directory that it writes.
+``clean_up`` removes old dates and versions that no reader holds any more.
 """
 
 from __future__ import annotations
@@ -17,14 +18,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
-from wardlight import schemas
+from wardlight import schemas, settings
 from wardlight.functions.text import as_of_time
 
 PARTITION = "event_date"
@@ -74,23 +75,33 @@ def refresh_tables(spark: SparkSession, root: str, results: Mapping[str, DataFra
     return version
 
 
-def current_versions(spark: SparkSession, root: str) -> dict[str, str]:
-    """The version of each table that is current now, from one read of the commits."""
+def _commits(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        commits = spark.read.schema(COMMIT_SCHEMA).parquet(f"{root}/_commits")
+        return spark.read.schema(COMMIT_SCHEMA).parquet(f"{root}/_commits")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
+        return None
+
+
+def current_versions(spark: SparkSession, root: str) -> dict[str, str]:
+    """The version of each table that is current now, from one read of the commits."""
+    commits = _commits(spark, root)
+    if commits is None:
         return {}
     rows = commits.groupBy("table_name").agg(F.max_by("version", "commit").alias("version")).collect()
     return {row["table_name"]: row["version"] for row in rows}
 
 
+def _open(spark: SparkSession, path: str, table: str) -> DataFrame:
+    stored = [*schemas.RESULT_SCHEMAS[table].fields, StructField(RUN, StringType()), StructField(PARTITION, DateType())]
+    return spark.read.schema(StructType(stored)).parquet(path)
+
+
 def _read(spark: SparkSession, path: str, table: str, since, until) -> DataFrame:
     """Rows of a table; a time range is also put on the date partitions, so other dates are not read."""
     time = F.col(schemas.TIME_COLUMN[table])
-    stored = [*schemas.RESULT_SCHEMAS[table].fields, StructField(RUN, StringType()), StructField(PARTITION, DateType())]
-    df = spark.read.schema(StructType(stored)).parquet(path)
+    df = _open(spark, path, table)
     if since is not None:
         start = as_of_time(since)
         df = df.where((time >= start) & (F.col(PARTITION) >= F.to_date(start)))
@@ -110,6 +121,26 @@ def read_table(
     return _read(spark, f"{root}/{table}/version={version}", table, since, until)
 
 
+def read_newest(
+    spark: SparkSession, root: str, table: str, rows: int | None, versions: Mapping[str, str]
+) -> DataFrame | None:
+    """The newest dates of a table that hold ``rows`` rows between them; with None, all dates.
+
+    Rows are counted by date from file footers. No date is empty, so at most ``rows`` counts reach the driver.
+    """
+    if table not in versions:
+        return None
+    df = _open(spark, f"{root}/{table}/version={versions[table]}", table)
+    counts = [] if rows is None else df.groupBy(PARTITION).count().orderBy(F.desc(PARTITION)).limit(rows).collect()
+    held = 0
+    for row in counts:
+        held += row["count"]
+        if held >= rows and row[PARTITION] is not None:
+            df = df.where(F.col(PARTITION) >= F.lit(row[PARTITION]))
+            break
+    return df.drop(PARTITION, RUN)
+
+
 def append_rows(df: DataFrame, root: str, table: str) -> None:
     """Add rows to an append-only table such as the history of quality checks."""
     _write(df, table, f"{root}/{table}_history/{RUN}={new_version()}", "errorifexists")
@@ -124,6 +155,84 @@ def read_history(spark: SparkSession, root: str, table: str, since=None, until=N
         return None
 
 
+def _written_at(version: str) -> datetime:
+    return datetime.strptime(version.split("-")[0], "%Y%m%dT%H%M%S%f").replace(tzinfo=timezone.utc)
+
+
+class _Folders:
+    """Listing and deleting through the file system that Spark itself uses for ``root``."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+        self.removed: list[str] = []
+
+    def values(self, path: str, name: str) -> list[str]:
+        """The values of the partition folders ``<name>=<value>`` in a folder; none if it does not exist."""
+        folder = self._path(path)
+        found = self._fs.listStatus(folder) if self._fs.exists(folder) else []
+        names = [status.getPath().getName() for status in found]
+        return [text.split("=", 1)[1] for text in names if text.startswith(f"{name}=")]
+
+    def remove(self, path: str) -> None:
+        if self._fs.delete(self._path(path), True):
+            self.removed.append(path)
+
+
+def clean_up(
+    spark: SparkSession,
+    root: str,
+    as_of=None,
+    days: int = settings.RETENTION_DAYS,
+    grace: timedelta = timedelta(hours=24),
+) -> list[str]:
+    """Remove what is out of date, as whole folders, and return their paths.
+
+    * Date folders, of current tables and histories, that lie wholly before ``as_of`` less ``days``. Rows of the date
+      that the limit falls into stay.
+    * Versions that another commit replaced longer than ``grace`` ago, and versions that were never committed and are
+      older than that: left behind by a failed refresh. A job that reads or writes for less than ``grace`` is safe.
+    * Commits that are no table's newest and are older than ``grace``.
+
+    The driver handles folder names only: dates, versions and commits, whose number this job itself keeps small.
+    """
+    cutoff = as_of_time(as_of) - F.expr(f"INTERVAL {int(days)} DAYS")
+    oldest: date = spark.range(1).select(F.to_date(cutoff)).first()[0]
+    before = datetime.now(timezone.utc) - grace
+    folders = _Folders(spark, root)
+
+    def remove_dates(path: str) -> bool:
+        """True if the folder holds no date any more."""
+        dates = folders.values(path, PARTITION)
+        gone = [text for text in dates if text[:4].isdigit() and date.fromisoformat(text) < oldest]
+        for text in gone:
+            folders.remove(f"{path}/{PARTITION}={text}")
+        return len(gone) == len(dates)
+
+    commits = _commits(spark, root)
+    rows = [] if commits is None else commits.orderBy("commit").collect()
+    current = {row["table_name"]: row for row in rows}
+    for table, newest in current.items():
+        own = [row for row in rows if row["table_name"] == table]
+        replaced = {row["version"]: _written_at(later["commit"]) for row, later in zip(own, own[1:])}
+        for version in folders.values(f"{root}/{table}", "version"):
+            path = f"{root}/{table}/version={version}"
+            if version == newest["version"]:
+                remove_dates(path)
+            elif replaced.get(version, _written_at(version)) < before:
+                folders.remove(path)
+    for table in schemas.RESULT_SCHEMAS:
+        for run in folders.values(f"{root}/{table}_history", RUN):
+            path = f"{root}/{table}_history/{RUN}={run}"
+            if remove_dates(path) and _written_at(run) < before:
+                folders.remove(path)
+    kept = {row["commit"] for row in current.values()}
+    for commit_id in {row["commit"] for row in rows} - kept:
+        if _written_at(commit_id) < before:
+            folders.remove(f"{root}/_commits/commit={commit_id}")
+    return folders.removed
+
+
 def scan_result_table(df: DataFrame, table: str) -> DataFrame:
     """All columns of a result table in time order."""
     time = schemas.TIME_COLUMN[table]
