@@ -29,6 +29,7 @@ HEADLINE = [
     "dq_report",
     "alert_feed",
     "alert_cooldown",
+    "pipeline_from_raw",
     "bed_warning_report",
     "pipeline_health",
     "chart_event_rate",

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from wardlight.operators.cooldown import suppress_repeats
+from wardlight.operators.cooldown import at_polls, suppress_logged, suppress_repeats
 from wardlight.streaming.cooldown import emitted_alerts
 
 DDL = "level string, metric string, region string, polled_at timestamp_ntz, position bigint"
@@ -82,3 +82,40 @@ def test_stream_keeps_its_state_between_batches(spark, tmp_path):
         query.start(str(tmp_path / "out")).awaitTermination()
         emitted = sorted(row.emitted_at for row in spark.read.parquet(str(tmp_path / "out")).collect())
     assert emitted == [START + timedelta(minutes=m) for m in (0, 5, 10, 40)]
+
+
+@pytest.mark.parametrize("cooldown", [300, 21_600])
+def test_density_does_not_grow_the_moments_of_a_key(spark, cooldown):
+    """A hundred times the alerts of one key on the same polls: as many distinct times, and the same emissions."""
+    counts, emitted = [], []
+    for per_minute in (1, 100):
+        alerts = spark.range(720 * per_minute).selectExpr(
+            "'warning' AS level", "'m' AS metric", "'a' AS region",
+            f"timestamp_micros(1704067200000000 + id * 60000000 div {per_minute} + 1) AS polled_at", "id AS position",
+        )
+        polled = at_polls(alerts, 60)
+        counts.append(polled.select("polled_at").distinct().count())
+        rows = suppress_repeats(polled, cooldown).where("status = 'EMITTED'").collect()
+        emitted.append(sorted(row.polled_at for row in rows))
+    assert counts[0] == counts[1] == 720
+    assert emitted[0] == emitted[1] and len(emitted[0]) == 720 * 60 // cooldown
+
+
+def test_polls_are_at_or_after_the_alert(spark):
+    times = [START, START + timedelta(seconds=1), START + timedelta(seconds=60), None]
+    rows = [("warning", "m", "a", time, i) for i, time in enumerate(times)]
+    found = {r.position: r.polled_at for r in at_polls(spark.createDataFrame(rows, DDL), 60).collect()}
+    assert found == {0: START, 1: START + timedelta(minutes=1), 2: START + timedelta(minutes=1), 3: None}
+
+
+def test_a_poll_remembers_the_log(spark):
+    log = spark.createDataFrame(
+        [("warning", "m", "a", START, "EMITTED"), ("warning", "m", "a", START + timedelta(minutes=4), "SUPPRESSED"),
+         ("warning", "m", "b", START + timedelta(minutes=1), "EMITTED")],
+        "level string, metric string, region string, polled_at timestamp, status string",
+    )
+    poll = [("warning", "m", region, START + timedelta(minutes=5), 1, position)
+            for region, position in (("a", 1), ("a", 2), ("b", 3), ("c", 4), (None, 5), (None, 6))]
+    ddl = "level string, metric string, region string, polled_at timestamp, check_order int, position int"
+    marked = suppress_logged(spark.createDataFrame(poll, ddl), log, 300).collect()
+    assert {r.position for r in marked if r.status == "EMITTED"} == {1, 4, 5} and len(marked) == 6

@@ -9,10 +9,13 @@ import pytest
 
 from wardlight import schemas
 from wardlight.operators import aggregates, reports, risk
-from wardlight.plans import registry
+from wardlight.plans import refresh, registry
 from wardlight.session import build_session, work_dir
+from wardlight.sources import events
 
-WRITES = {"sink_full_refresh", "pipeline_refresh", "pipeline_refresh_state", "predictions_refresh", "dq_history_append",
+WRITES = {"sink_full_refresh", "pipeline_from_raw", "alert_cycle", "retention_clean_up", "optional_source_present",
+          "stored_hourly_event_rate", "stored_severity_trend", "stored_bed_availability", "stored_vaccination_trend",
+          "stored_outbreak_predictions", "stored_data_quality_checks", "pipeline_refresh", "pipeline_refresh_state", "predictions_refresh", "dq_history_append",
           "ingest_stream", "publish_valid", "publish_routed", "alert_cooldown_stream"}
 
 
@@ -113,3 +116,22 @@ def test_hot_key_gives_the_same_result(spark):
 def test_session_settings():
     session = build_session()
     assert session.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_newest_hour_reads_its_input_once(spark, sf_dir):
+    plan = plan_of(registry.QUERIES["vaccination_latest_hour"](spark, sf_dir))
+    assert len(scans(plan, "events")) == 1
+
+
+@pytest.mark.parametrize("name", ["alert_feed", "table_row_counts", "scan_result_tables"])
+def test_queries_over_all_tables_read_stored_ones(spark, sf_dir, name):
+    plan = plan_of(registry.QUERIES[name](spark, sf_dir))
+    assert not scans(plan, "events") and "rangepartitioning" not in plan
+
+
+def test_poll_reads_the_newest_dates_only(spark, sf_dir, tmp_path):
+    root = str(tmp_path)
+    refresh.refresh_analytics(spark, events.clean(registry._typed(spark, sf_dir)), root)
+    plan = plan_of(refresh.poll_alerts(spark, root, "2024-01-31 12:00:00"))
+    read = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(read) == 5 and all("PartitionFilters: [isnotnull(event_date" in line for line in read)

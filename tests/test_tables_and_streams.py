@@ -211,3 +211,35 @@ def test_missing_topic_reported_by_the_jvm():
             return "java.util.concurrent.ExecutionException: UnknownTopicOrPartitionException: no such topic"
 
     assert events._source_is_missing(Failure())
+
+
+def test_clean_up_keeps_what_is_current_or_held(spark, tmp_path):
+    root = str(tmp_path)
+    old, new = NOW - timedelta(days=9), NOW - timedelta(days=7)
+    for region in ("first", "second"):
+        rows = rate(spark, (old, "t", region, 1), (new, "t", region, 2), (NOW, "t", region, 3))
+        store.refresh_tables(spark, root, {"hourly_event_rate": rows})
+        store.append_rows(rows, root, "hourly_event_rate")
+    failed = store.new_version()
+    store.write_version(rate(spark, (NOW, "t", "failed", 1)), root, "hourly_event_rate", failed)
+    versions = lambda: len(list((tmp_path / "hourly_event_rate").glob("version=*")))
+
+    store.clean_up(spark, root, NOW)
+    assert versions() == 3  # replaced or never committed, but young: a job may still use them
+    assert sorted(r.event_count for r in store.read_table(spark, root, "hourly_event_rate").collect()) == [2, 3]
+    assert store.read_history(spark, root, "hourly_event_rate").count() == 4
+
+    store.clean_up(spark, root, NOW, grace=timedelta(0))
+    assert versions() == 1 and spark.read.parquet(f"{root}/_commits").count() == 1
+    assert regions(store.read_table(spark, root, "hourly_event_rate")) == ["second", "second"]
+    assert store.clean_up(spark, root, NOW, grace=timedelta(0)) == []
+
+
+def test_clean_up_of_nothing(spark, tmp_path):
+    assert store.clean_up(spark, str(tmp_path / "none"), NOW) == []
+
+
+def test_raw_messages_without_a_valid_one(spark, tmp_path):
+    messages = spark.createDataFrame([("{}",), (None,)], "value string")
+    refresh.results_from_raw(spark, messages, str(tmp_path), "t", NOW)
+    assert store.read_table(spark, str(tmp_path), "outbreak_predictions").count() == 0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -106,7 +107,10 @@ def poll_alerts(
     """
     versions = store.current_versions(spark, root)
     needed = {table: 1 if table == "vaccination_trend" else limits.scan_rows for table in ANALYTICS}
-    current = {table: store.read_newest(spark, root, table, rows, versions) for table, rows in needed.items()}
+    # side by side, since each counts the rows of a few dates only
+    with ThreadPoolExecutor(max_workers=len(needed)) as pool:
+        found = pool.map(lambda table: store.read_newest(spark, root, table, needed[table], versions), needed)
+        current = dict(zip(needed, found))
     recent = as_of_time(as_of) - F.expr("INTERVAL 12 HOURS")
     checks = store.read_history(spark, root, "data_quality_checks", since=recent)
     if checks is None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import timedelta
 from functools import reduce
 
@@ -140,8 +141,8 @@ def _stored(spark, sf_dir, name: str) -> str:
     root = work_dir(spark, name)
     refresh.refresh_analytics(spark, events.clean(_typed(spark, sf_dir)), root)
     refresh.refresh_predictions(spark, root, AS_OF)
-    refresh.record_checks(spark, root, EARLIER_CHECK)
-    refresh.record_checks(spark, root, LATER_CHECK)
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        list(pool.map(lambda moment: refresh.record_checks(spark, root, moment), (EARLIER_CHECK, LATER_CHECK)))
     return root
 
 
