@@ -125,6 +125,18 @@ def test_jaccard_with_large_hubs(spark, sf_dir):
     same([(r["doc_id"], r["n_shingles"], r["component_id"]) for r in out], want)
 
 
+def test_jaccard_of_sets_with_equal_prefixes(spark):
+    """Near copies in one block that differ in their last word only: equal sizes, and mostly equal prefixes."""
+    rows = []
+    for base in range(40):
+        text = " ".join(f"b{base}_{i}" for i in range(60))
+        rows += [(10 * base + v, f"{text} end{base}_{v}") for v in range(2 + base % 3)]
+        rows.append((10 * base + 9, rows[-1][1]))  # an exact copy of the last near copy
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    out = jaccard.link_components(spark, docs).collect()
+    same([(r["doc_id"], r["n_shingles"], r["component_id"]) for r in out], brute.jaccard_components(rows))
+
+
 def test_top_k(spark, sf_dir):
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     rows = [(r["vec_id"], r["embedding"]) for r in vectors.collect()]
