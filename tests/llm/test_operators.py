@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -171,6 +172,33 @@ def test_line_dedup_finds_long_runs(spark, edge_docs):
     assert out[15] == "other\nother"
 
 
+def test_line_dedup_finds_every_repeated_run(spark):
+    """Against all pairs of places, whichever way runs are found: runs of two lines, and long lines alone."""
+    rng, rows = random.Random(5), []
+    for d in range(60):
+        lines = [f"u{d}_{i}" for i in range(24)]
+        for _ in range(3):  # runs of 1 to 3 lines that other documents hold too, among lines of its own
+            at, start, n = rng.randrange(20), rng.randrange(12), rng.randrange(1, 4)
+            lines[at : at + n] = [f"s{i}" + "long" * 60 * (i % 5 == 0) for i in range(start, start + n)]
+        rows.append((d, "\n".join(lines)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for long_line in (None, line_dedup.LONG_LINE):
+        out = line_dedup.dedup(spark, docs, long_line=long_line).collect()
+        places = [(d, i, x) for d, t in rows for i, x in enumerate(t.split("\n"))]
+        gone = set()
+        for b, (d, i, x) in enumerate(places):
+            for e, j, y in places[:b]:
+                if x != y:
+                    continue
+                if long_line and len(x) >= long_line:
+                    gone.add((d, i))
+                own, other = rows[d][1].split("\n")[i + 1 :], rows[e][1].split("\n")[j + 1 :]
+                if own and other and own[0] == other[0]:
+                    gone |= {(d, i), (d, i + 1)}
+        want = [(d, "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in gone)) for d, t in rows]
+        same([(r["doc_id"], r["text"]) for r in out], want)
+
+
 def test_packing(spark, corpus):
     import public_tokenizers
     from tokenizers import Tokenizer

@@ -1,4 +1,4 @@
-"""Line dedup: winnowed fingerprints of line hashes, joined, extended both ways, later repeated runs deleted."""
+"""Line dedup: fingerprints of line hashes, joined with their first occurrence, later repeated runs deleted."""
 
 from __future__ import annotations
 
@@ -9,79 +9,57 @@ from wardlight.llm.tables import written
 
 #: lines of a fingerprint, and so the shortest run that is deleted
 RUN_LINES = 2
-#: consecutive fingerprints of which the smallest is kept
-WINDOW = 3
+#: consecutive fingerprints of which one is kept: all are, so that no repeated run is missed
+WINDOW = 1
+#: characters from which on a line is a run by itself, where single lines are asked for
+LONG_LINE = 200
 
-_NO_PLACES = "cast(array() as array<int>)"
 
+def fingerprints(text: Column, run_lines: int, long_line: int | None) -> Column:
+    """(print, at, size) of every ``run_lines`` consecutive lines and, from ``long_line`` characters on, of single lines."""
+    lines = F.split(text, "\n")
 
-def line_hashes(text: Column) -> Column:
-    return F.transform(F.split(text, "\n"), lambda line: F.md5(line.cast("binary")))
+    def hashes(of: Column) -> Column:
+        return F.transform(of, lambda line: F.md5(line.cast("binary")))
 
+    def entry(text: Column, at: Column, size: int) -> Column:
+        return F.struct(
+            F.unhex(F.md5(text.cast("binary"))).alias("print"), at.cast("int").alias("at"), F.lit(size).alias("size")
+        )
 
-def grams(hashes: Column, size: int) -> Column:
-    """Hashes of ``size`` consecutive lines by their place; none if there are fewer."""
-    return F.when(
-        F.size(hashes) >= size,
+    # the lines are hashed once, as the argument of the outer transform
+    runs = F.flatten(
         F.transform(
-            F.sequence(F.lit(1), F.size(hashes) - size + 1),
-            lambda i: F.md5(F.array_join(F.slice(hashes, i, size), "").cast("binary")),
-        ),
-    ).otherwise(F.expr("cast(array() as array<string>)"))
-
-
-def minima(values: Column, window: int) -> Column:
-    """Places (from 0) that hold the smallest value of some ``window`` consecutive ones, the rightmost of equal ones.
-
-    Of fewer values, but not none, the smallest of all.
-    """
-    width = F.least(F.size(values), F.lit(window))
-    least = F.transform(
-        F.sequence(F.lit(1), F.size(values) - width + 1),
-        lambda i: F.array_min(
-            F.transform(F.slice(values, i, width), lambda h, j: F.struct(h.alias("h"), (1 - i - j).alias("back")))
-        ),
-    )
-    return F.when(F.size(values) > 0, F.array_distinct(F.transform(least, lambda m: -m["back"]))).otherwise(
-        F.expr(_NO_PLACES)
-    )
-
-
-def equal_runs(own: Column, source: Column, shift: Column, least: int) -> Column:
-    """Runs of at least ``least`` places where ``own[i] == source[i - shift]``: (start, end), end exclusive."""
-    low = F.greatest(shift, F.lit(0))
-    high = F.least(F.size(own), F.size(source) + shift)
-    different = F.filter(
-        F.when(high > low, F.sequence(low, high - 1)).otherwise(F.expr(_NO_PLACES)),
-        lambda i: F.get(own, i) != F.get(source, i - shift),
-    )
-    edges = F.concat(F.array(low - 1), different, F.array(high))
-    runs = F.zip_with(
-        F.slice(edges, 1, F.size(edges) - 1),
-        F.slice(edges, 2, F.size(edges) - 1),
-        lambda a, z: F.struct((a + 1).alias("start"), z.alias("end")),
+            F.array(hashes(lines)),
+            lambda own: F.when(
+                F.size(own) >= run_lines,
+                F.transform(
+                    F.sequence(F.lit(0), F.size(own) - run_lines),
+                    lambda i: entry(F.array_join(F.slice(own, i + 1, run_lines), ""), i, run_lines),
+                ),
+            ).otherwise(F.expr("cast(array() as array<struct<print: binary, at: int, size: int>>)")),
+        )
     )
-    return F.filter(runs, lambda r: r["end"] - r["start"] >= least)
+    if long_line is None:
+        return runs
+    single = F.transform(lines, lambda line, i: F.when(F.length(line) >= long_line, entry(line, i, 1)))
+    return F.concat(runs, F.filter(single, lambda e: e.isNotNull()))
 
 
 def repeated_runs(
-    spark: SparkSession, documents: DataFrame, run_lines: int = RUN_LINES, window: int = WINDOW
+    spark: SparkSession, documents: DataFrame, run_lines: int = RUN_LINES, long_line: int | None = None
 ) -> DataFrame:
     """(row_key, doc_id, deleted): the places of the lines of a row that are repeated from earlier ones."""
-    lines = written(
+    prints = written(
         spark,
         documents.select(
             F.col("doc_id").alias("doc_id"),
             F.xxhash64("doc_id", "text").alias("row_key"),
-            line_hashes(F.coalesce("text", F.lit(""))).alias("hashes"),
-        ).dropDuplicates(["doc_id", "row_key"]),  # repeated rows are one document
-        "lines",
-    )
-    prints = (
-        lines.withColumn("grams", grams(F.col("hashes"), run_lines))
-        .select("doc_id", "row_key", "grams", F.explode(minima(F.col("grams"), window)).alias("at"))
-        .select("doc_id", "row_key", "at", F.get("grams", "at").alias("print"))
+            F.explode(fingerprints(F.coalesce("text", F.lit("")), run_lines, long_line)).alias("p"),
+        ).select("doc_id", "row_key", "p.*"),
+        "prints",
     )
+    # repeated rows are one document: their places are the same
     here = F.struct("doc_id", "row_key", "at")
     # written, so that the join can split a fingerprint that a third of all rows hold
     first = written(
@@ -92,56 +70,33 @@ def repeated_runs(
         .select("print", "first"),
         "first-prints",
     )
-    matches = (
+    places = F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r["at"], r["at"] + r["size"] - 1))))
+    return (
         prints.join(first, "print")
         .where(~here.eqNullSafe(F.col("first")))
-        .select(
-            "doc_id",
-            "row_key",
-            F.col("first.doc_id").alias("src_id"),
-            F.col("first.row_key").alias("src_key"),
-            (F.col("at") - F.col("first.at")).alias("shift"),
-        )
-        .distinct()
-    )
-    source = lines.select(
-        F.col("doc_id").alias("src_id"), F.col("row_key").alias("src_key"), F.col("hashes").alias("source")
-    )
-    same = [F.col(f"m.{a}").eqNullSafe(F.col(f"o.{a}")) for a in ("doc_id", "row_key")]
-    by_source = matches.alias("m").join(
-        source.alias("s"),
-        F.col("m.src_id").eqNullSafe(F.col("s.src_id")) & (F.col("m.src_key") == F.col("s.src_key")),
-    )
-    by_source = by_source.select("m.doc_id", "m.row_key", "shift", "source")
-    runs = by_source.alias("m").join(lines.alias("o"), same[0] & same[1]).select(
-        "m.doc_id", "m.row_key", F.explode(equal_runs(F.col("hashes"), F.col("source"), F.col("shift"), run_lines)).alias("run")
-    )
-    places = F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r["start"], r["end"] - 1))))
-    return (
-        runs.groupBy("doc_id", "row_key")
-        .agg(F.collect_set("run").alias("runs"))
+        .groupBy("doc_id", "row_key")
+        .agg(F.collect_set(F.struct("at", "size")).alias("runs"))
         .select("doc_id", "row_key", places.alias("deleted"))
     )
 
 
 def dedup(
-    spark: SparkSession, documents: DataFrame, run_lines: int = RUN_LINES, window: int = WINDOW
+    spark: SparkSession, documents: DataFrame, run_lines: int = RUN_LINES, long_line: int | None = None
 ) -> DataFrame:
     """Every row of ``documents`` without runs of lines that are repeated from earlier lines.
 
-    Lines are what stands between line feeds. Fingerprints are hashes of ``run_lines`` consecutive lines; of every
-    ``window`` consecutive fingerprints the smallest is selected. A selected fingerprint that has occurred before, in
-    the order of (doc_id, text hash, place), is a match with its first occurrence. A match is extended both ways along
-    the two documents; runs of at least ``run_lines`` equal lines on this diagonal are deleted from the later one.
-    Everything is judged on the input, so the first occurrence of a line stays, and every run of
-    ``run_lines + window - 1`` lines that occurs earlier has a match.
+    Lines are what stands between line feeds. Fingerprints are hashes of every ``run_lines`` consecutive lines and, if
+    ``long_line`` is given, of every single line of at least so many characters. The lines of a fingerprint that has
+    occurred before, in the order of (doc_id, text hash, place), are deleted. So exactly the lines go that lie in a run
+    of at least ``run_lines`` lines, or in a long line, that occurs earlier, in whichever documents; shorter lines that
+    are repeated alone stay. Everything is judged on the input, so the first occurrence of a line stays.
 
     All columns of ``documents`` stay, text is replaced by the lines that are left (joined by line feeds), and
     n_lines, n_removed (long) are added, replacing columns of these names. A null text stays null and has no lines; a
     text that loses all lines is empty. Null ids come first in the order. Repeated rows are one document and get equal
     results. An empty table gives no rows.
     """
-    deleted = repeated_runs(spark, documents, run_lines, window).select(
+    deleted = repeated_runs(spark, documents, run_lines, long_line).select(
         F.col("doc_id").alias("_wl_doc"), F.col("row_key").alias("_wl_key"), F.col("deleted").alias("_wl_deleted")
     )
     keyed = documents.withColumn("_wl_row", F.xxhash64("doc_id", "text"))

@@ -109,7 +109,8 @@ def _classified(scores: DataFrame, held_out: F.Column) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.dedup(spark, _table(spark, sf_dir, "documents").select("doc_id", "text"))
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = line_dedup.dedup(spark, documents, long_line=line_dedup.LONG_LINE)
     return out.select("doc_id", "n_lines", "n_removed", "text")
 
 
