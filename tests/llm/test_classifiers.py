@@ -69,6 +69,32 @@ def test_nearest_equals_all_cosines():
         assert near == pytest.approx(cosine[found])
 
 
+def test_only_near_copies_of_one_class_count_once():
+    """Unrelated examples count even if all hold the common term of the smallest hash; copies count once in a class."""
+    rng = np.random.default_rng(6)
+    own = [np.unique(rng.integers(10**6, 2**63, 60, np.uint64)) for _ in range(40)]
+    sets = [np.concatenate([np.array([1, 2, 3], np.uint64), x]) for x in own]
+    copies = [np.sort(np.append(x[:-2], np.uint64(2**63 + i))) for i, x in enumerate(sets[:10])]
+    examples = sets + copies + sets[10:20] + [np.zeros(0, np.uint64)] * 2
+    y = np.array([i % 2 for i in range(40)] + [i % 2 for i in range(10)] + [1 - i % 2 for i in range(10)] + [0, 1], float)
+    row = np.repeat(np.arange(len(examples)), [len(x) for x in examples])
+    counted = toxicity._without_near_copies(np.concatenate(examples), row, y)
+    assert counted.tolist() == [True] * 40 + [False] * 10 + [True] * 12
+
+
+def test_terms_of_unrelated_examples_are_selected():
+    """A toxic term that 20 of 200 examples hold is found, though all examples share the term of the smallest hash."""
+    rng = np.random.default_rng(7)
+    y = np.array([float(i < 20) for i in range(200)])
+    sets = [
+        np.unique(np.append(rng.integers(10**6, 2**63, 30, np.uint64), np.array([1, 77] if t else [1], np.uint64)))
+        for t in y
+    ]
+    row = np.repeat(np.arange(200), [len(x) for x in sets])
+    kept = toxicity._selected(np.concatenate(sets), row, y, np.ones(200), 10)
+    assert 77 in kept.tolist()
+
+
 @pytest.mark.parametrize("module,label", [(quality, "quality"), (toxicity, "toxic")])
 def test_edge_rows(spark, edge_docs, edge_rows, crowded, no_docs, module, label):
     ddl = f"doc_id long, {label} int, text string"

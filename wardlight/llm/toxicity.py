@@ -21,6 +21,10 @@ MIN_CHI2 = 30.0
 MIN_SHARE = 0.8
 #: bytes of the word beginnings that are terms beside the whole words, as languages inflect
 BEGINNINGS = (4, 5, 6, 7, 8, 9)
+#: examples of one class whose terms are that similar (Jaccard) count once when terms are selected
+NEAR_COPY = 0.8
+#: MinHash bands that find them, and values of a band
+BANDS, BAND = 10, 4
 BLOCK = 64
 NEIGHBOURS = 16
 #: weight of the prior among the votes
@@ -128,7 +132,7 @@ def fit(
     """An index of at most ``2 * per_class`` labelled examples that are not held out.
 
     Terms are lower-cased words between ASCII symbols, and word beginnings, that go with label 1: at most ``max_terms``,
-    by chi-squared in the sample weighted to all labels, where near copies of one example count once. The document
+    by chi-squared in the sample weighted to all labels, where near copies of one example of the same class count once. The document
     frequencies behind the IDF come from all documents. With one class only, or no term, every text gets the share of
     label 1 (0.5 if there is no label).
     """
@@ -179,11 +183,7 @@ def fit(
 def _selected(term: np.ndarray, row: np.ndarray, y: np.ndarray, votes: np.ndarray, most: int) -> np.ndarray:
     if not len(term) or y.min() == y.max():
         return np.zeros(0, np.uint64)
-    # near copies mostly have the same smallest hash; only the first of them counts
-    least = np.full(len(y), np.iinfo(np.uint64).max, np.uint64)
-    np.minimum.at(least, row, term)
-    counted = np.zeros(len(y), bool)
-    counted[np.unique(least, return_index=True)[1]] = True
+    counted = _without_near_copies(term, row, y)  # of near copies of one class only the first counts
     votes = votes * counted
     values, place = np.unique(term, return_inverse=True)
     scale = counted.sum() / votes.sum()
@@ -197,6 +197,36 @@ def _selected(term: np.ndarray, row: np.ndarray, y: np.ndarray, votes: np.ndarra
     return np.sort(values[order[chi2[order] >= MIN_CHI2]])
 
 
+def _without_near_copies(term: np.ndarray, row: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which examples count: those that are no near copy of an earlier one of their class that counts.
+
+    ``term``, ``row``: each example's distinct terms, examples in order. Candidates share a band of MinHash values and
+    are compared by the exact Jaccard similarity of their terms.
+    """
+    counted = np.ones(len(y), bool)
+    at = np.searchsorted(row, np.arange(len(y) + 1))
+    filled = np.flatnonzero(np.diff(at))
+    least = np.empty((len(filled), BANDS * BAND), np.uint64)
+    for k in range(BANDS * BAND):
+        mixed = (term ^ (np.uint64(k + 1) * np.uint64(0x9E3779B97F4A7C15 >> 8))) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+        least[:, k] = np.minimum.reduceat(mixed ^ (mixed >> np.uint64(29)), at[filled]) if len(filled) else 0
+    held: dict[tuple[int, float, bytes], list[int]] = {}
+    for i, values in zip(filled.tolist(), least, strict=True):
+        own = term[at[i] : at[i + 1]]
+        bands = [(b, y[i], values[b * BAND : (b + 1) * BAND].tobytes()) for b in range(BANDS)]
+        for j in sorted({j for band in bands for j in held.get(band, ())}):
+            other = term[at[j] : at[j + 1]]
+            common = len(np.intersect1d(own, other, assume_unique=True))
+            if common >= NEAR_COPY * (len(own) + len(other) - common):
+                counted[i] = False
+                break
+        else:
+            for band in bands:
+                held.setdefault(band, []).append(i)
+    return counted
+
+
 def _document_frequencies(documents: DataFrame, terms: np.ndarray) -> np.ndarray:
     """Documents with each term and, last, all documents: counted over the whole table, summed per task first."""
     size, vocabulary = len(terms), Vocabulary(terms)
