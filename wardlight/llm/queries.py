@@ -11,11 +11,15 @@ from pyspark.sql import functions as F
 from wardlight.llm import (
     decontaminate,
     jaccard,
+    lexical,
     licences,
     line_dedup,
+    merkle,
     packing,
+    piece_bpe,
     quality,
     secrets,
+    sql,
     substring,
     topk,
     toxicity,
@@ -114,6 +118,30 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op11_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = piece_bpe.encode(_table(spark, sf_dir, "documents"), model)
+    digests = encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        _sha256(F.array_join("ids", ",")).alias("ids_sha256"),
+        "ids",
+    )
+    decoded = piece_bpe.decode(digests, model, ("doc_id", "n_tokens", "ids_sha256"))
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", _sha256(F.col("decoded")).alias("decoded_sha256"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = remainder(F.col("doc_id"), 7) == 0
+    rows = merkle.manifest(spark, _table(spark, sf_dir, "documents"), tampered)
+    proof = _sha256(F.lower(F.hex("siblings"))).alias("proof_sha256")
+    return rows.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", "verified", "lang", "position")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -127,7 +155,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_toxicity,
         op10_line_dedup,
+        op11_piece_bpe,
+        op12_lexical_search,
+        op13_merkle_manifest,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op12_lexical_search": sql.LEXICAL_SEARCH,
+    "op13_merkle_manifest": sql.MERKLE_MANIFEST,
+}
