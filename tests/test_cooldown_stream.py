@@ -63,3 +63,15 @@ def test_several_batches_equal_the_rule(spark, tmp_path):
     got, n = _run(spark, tmp_path, batches, 500)
     assert n == 180
     assert got == _rule(batches, 500)
+
+
+def test_batches_that_go_back_in_time(spark, tmp_path):
+    pick = random.Random(11)
+    rows = [
+        (pick.choice(["warning", "critical"]), "beds", pick.choice("ab"), START + timedelta(seconds=pick.randrange(7200)), n)
+        for n in range(120)
+    ]
+    batches = [rows[k::3] for k in range(3)]
+    got, n = _run(spark, tmp_path, batches, 700)
+    assert n == 120 and set(got.values()) == {"EMITTED", "SUPPRESSED"}
+    assert got == _rule(batches, 700)

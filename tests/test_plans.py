@@ -11,12 +11,12 @@ from wardlight import schemas
 from wardlight.operators import aggregates, reports, risk
 from wardlight.plans import refresh, registry
 from wardlight.session import build_session, work_dir
-from wardlight.sources import events
 
 WRITES = {"sink_full_refresh", "pipeline_from_raw", "alert_cycle", "retention_clean_up", "optional_source_present",
           "stored_hourly_event_rate", "stored_severity_trend", "stored_bed_availability", "stored_vaccination_trend",
-          "stored_outbreak_predictions", "stored_data_quality_checks", "pipeline_refresh", "pipeline_refresh_state", "predictions_refresh", "dq_history_append",
-          "ingest_stream", "publish_valid", "publish_routed", "alert_cooldown_stream"}
+          "stored_outbreak_predictions", "stored_data_quality_checks", "pipeline_refresh", "pipeline_refresh_state",
+          "predictions_refresh", "dq_history_append", "dq_table_state", *(f"incremental_{t}" for t in refresh.ANALYTICS),
+          "ingest_stream", "publish_valid", "publish_routed", "alert_cooldown_stream", "alert_cooldown_stream_status"}
 
 
 def plan_of(df) -> str:
@@ -129,9 +129,8 @@ def test_queries_over_all_tables_read_stored_ones(spark, sf_dir, name):
     assert not scans(plan, "events") and "rangepartitioning" not in plan
 
 
-def test_poll_reads_the_newest_dates_only(spark, sf_dir, tmp_path):
-    root = str(tmp_path)
-    refresh.refresh_analytics(spark, events.clean(registry._typed(spark, sf_dir)), root)
-    plan = plan_of(refresh.poll_alerts(spark, root, "2024-01-31 12:00:00"))
+def test_poll_reads_the_newest_dates_only(spark, sf_dir):
+    database = registry._refreshed(spark, sf_dir, "poll-plan")
+    plan = plan_of(refresh.poll_alerts(spark, database, "2024-01-31 12:00:00"))
     read = [line for line in plan.splitlines() if "FileScan" in line]
     assert len(read) == 5 and all("PartitionFilters: [isnotnull(event_date" in line for line in read)

@@ -124,6 +124,18 @@ def event_rollup(events: DataFrame) -> DataFrame:
     )
 
 
+def merged_rollup(partials: DataFrame) -> DataFrame:
+    """One rollup from the rollups of several batches of events."""
+    return partials.groupBy("hour", "event_type", "region", "vaccine_type", "dose_number").agg(
+        F.sum("event_count").alias("event_count"),
+        F.sum("severity_sum").alias("severity_sum"),
+        F.sum("severity_count").alias("severity_count"),
+        F.sum("beds_sum").alias("beds_sum"),
+        F.min("beds_min").alias("beds_min"),
+        F.sum("beds_count").alias("beds_count"),
+    )
+
+
 def results_from_rollup(rollup: DataFrame) -> dict[str, DataFrame]:
     with_severity = rollup.where(F.col("severity_count") > 0)
     with_beds = rollup.where(F.col("beds_count") > 0)

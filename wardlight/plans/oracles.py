@@ -296,6 +296,19 @@ CTES = {
         UNION ALL
         SELECT f.level, f.region, f.next_at FROM emitted e JOIN following f USING (level, region, polled_at)
         WHERE f.next_at IS NOT NULL""",
+    # alerts that arrive in three batches by number: each key is walked batch by batch, in the order of time within one
+    "batched": """
+        SELECT *, row_number() OVER (PARTITION BY level, region ORDER BY position % 3, polled_at, position) AS place
+        FROM bed_events""",
+    "batched_next": """
+        SELECT a.level, a.region, a.place, min(b.place) AS next_place
+        FROM batched a JOIN batched b ON a.level = b.level AND a.region = b.region AND b.place > a.place
+            AND b.polled_at >= a.polled_at + INTERVAL 6 HOUR
+        GROUP BY a.level, a.region, a.place""",
+    "batched_emitted": """
+        SELECT level, region, place FROM batched WHERE place = 1
+        UNION ALL
+        SELECT n.level, n.region, n.next_place FROM batched_emitted e JOIN batched_next n USING (level, region, place)""",
     "region_labels": """
         SELECT region, CASE WHEN observed <= 60 THEN 'CRITICAL' WHEN observed <= 150 THEN 'WARNING' ELSE 'OK' END
                    AS severity, 'min_available_beds' AS metric, observed,
@@ -408,9 +421,10 @@ def _pivot(
     return f"SELECT {key}, {', '.join(cells)} FROM {table} GROUP BY {key}"
 
 
-def _closed(lateness_source: str) -> str:
-    """Streams emit the hours that ended at least two hours before their newest event."""
-    return f'+ INTERVAL 1 HOUR <= (SELECT max("timestamp") - INTERVAL 2 HOUR FROM {lateness_source})'
+def _open_hours(table: str, hour: str, columns: str = "*") -> str:
+    """The whole table; an hour is open until the newest event is two hours past its end."""
+    newest = f'(SELECT max("timestamp") FROM ev WHERE event_type IN {ROUTABLE})'
+    return f"SELECT {columns}, NOT {hour} + INTERVAL 1 HOUR <= {newest} - INTERVAL 2 HOUR AS is_open FROM {table}"
 
 
 EVENT_COLUMNS = (
@@ -419,6 +433,11 @@ EVENT_COLUMNS = (
 )
 TYPES = ["symptom_report", "clinic_visit", "hospital_admission", "vaccination_record"]
 VACCINATION_ROWS = "event_type = 'vaccination_record'"
+# Events come in three slices; the watermark of a slice is two hours before the newest event of earlier ones.
+SLICE_WATERMARKS = f"""
+    SELECT part, lag(newest) OVER (ORDER BY part) - INTERVAL 2 HOUR AS watermark
+    FROM (SELECT "offset" % 3 AS part, max(max("timestamp")) OVER (ORDER BY "offset" % 3) AS newest
+          FROM ev WHERE event_type IN {ROUTABLE} GROUP BY "offset" % 3)"""
 RATE_TABLE = "SELECT hour, event_type, region, event_count FROM hourly_event_rate"
 
 
@@ -638,6 +657,10 @@ _STATEMENTS = {
     "pipeline_refresh_state": "SELECT * FROM states",
     "predictions_refresh": "SELECT * FROM outbreak_predictions",
     "dq_history_append": "SELECT * FROM data_quality_checks",
+    "incremental_hourly_event_rate": RATE_TABLE,
+    "incremental_severity_trend": "SELECT * FROM severity_trend",
+    "incremental_bed_availability": "SELECT * FROM bed_availability",
+    "incremental_vaccination_trend": "SELECT * FROM vaccination_trend",
     # streams
     "ingest_stream": """
         SELECT "offset", CASE WHEN reason = 'valid' THEN 'valid' ELSE 'invalid' END AS verdict, reason FROM verdicts
@@ -648,14 +671,23 @@ _STATEMENTS = {
                     WHEN 'hospital_admission' THEN 'hospital_admissions' ELSE 'vaccination_records' END AS topic,
                count(*) AS messages
         FROM valid WHERE event_type IN {ROUTABLE} GROUP BY 1""",
-    "stream_hourly_rate": f"""
-        {RATE_TABLE} WHERE hour {_closed(f"ev WHERE event_type IN {ROUTABLE}")}""",
-    "stream_severity_trend": f"SELECT * FROM severity_trend WHERE window_start {_closed('scored')}",
-    "stream_bed_availability": f"""
-        SELECT * FROM bed_availability WHERE hour {_closed("ev WHERE available_beds IS NOT NULL")}""",
-    "stream_vaccination_trend": f"""
-        SELECT * FROM vaccination_trend
-        WHERE hour {_closed("ev WHERE vaccine_type IS NOT NULL AND dose_number >= 1")}""",
+    "stream_hourly_rate": _open_hours("hourly_event_rate", "hour", "hour, event_type, region, event_count"),
+    "stream_severity_trend": _open_hours("severity_trend", "window_start"),
+    "stream_bed_availability": _open_hours("bed_availability", "hour"),
+    "stream_vaccination_trend": _open_hours("vaccination_trend", "hour"),
+    "stream_late_events": f"""
+        SELECT "timestamp", event_type, region, watermark
+        FROM (SELECT * FROM ev WHERE event_type IN {ROUTABLE}) JOIN ({SLICE_WATERMARKS}) ON part = "offset" % 3
+        WHERE date_trunc('hour', "timestamp") + INTERVAL 1 HOUR <= watermark""",
+    "stream_progress": f"""
+        SELECT part AS batch_number, max("timestamp") AS newest_time, count(*) AS row_count,
+               count(*) FILTER (date_trunc('hour', "timestamp") + INTERVAL 1 HOUR <= watermark) AS late_count, watermark
+        FROM (SELECT * FROM ev WHERE event_type IN {ROUTABLE}) JOIN ({SLICE_WATERMARKS}) ON part = "offset" % 3
+        GROUP BY part, watermark""",
+    "alert_cooldown_stream_status": """
+        SELECT level, 'bed_availability' AS metric, region, polled_at, position,
+               CASE WHEN e.place IS NULL THEN 'SUPPRESSED' ELSE 'EMITTED' END AS status
+        FROM batched b LEFT JOIN batched_emitted e USING (level, region, place)""",
     "alert_cooldown_stream": """
         SELECT level, 'bed_availability' AS metric, region, polled_at AS emitted_at FROM emitted""",
 }

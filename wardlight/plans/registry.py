@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -136,21 +135,26 @@ def _checks(spark, sf_dir) -> DataFrame:
     )
 
 
+def _database(spark, purpose: str) -> str:
+    """A new database in the shared folder."""
+    root = work_dir(spark, purpose)
+    return store.create_database(spark, root.rsplit("/", 1)[1].replace("-", "_"), root)
+
+
 def _stored(spark, sf_dir, name: str) -> str:
-    """A folder with all six result tables, written from one read of the events."""
-    root = work_dir(spark, name)
-    refresh.refresh_analytics(spark, events.clean(_typed(spark, sf_dir)), root)
-    refresh.refresh_predictions(spark, root, AS_OF)
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        list(pool.map(lambda moment: refresh.record_checks(spark, root, moment), (EARLIER_CHECK, LATER_CHECK)))
-    return root
+    """A database with all six result tables, written from one read of the events."""
+    database = _database(spark, name)
+    refresh.refresh_analytics(spark, events.clean(_typed(spark, sf_dir)), database)
+    refresh.refresh_predictions(spark, database, AS_OF)
+    for moment in (EARLIER_CHECK, LATER_CHECK):
+        refresh.record_checks(spark, database, moment)
+    return database
 
 
 def _all_tables(spark, sf_dir) -> dict[str, DataFrame]:
     """The six result tables as stored."""
-    root = _stored(spark, sf_dir, "all-tables")
-    tables = refresh.read_analytics(spark, root, also=("outbreak_predictions",))
-    return {**tables, "data_quality_checks": store.read_history(spark, root, "data_quality_checks")}
+    database = _stored(spark, sf_dir, "all-tables")
+    return refresh.read_analytics(spark, database, also=("outbreak_predictions", "data_quality_checks"))
 
 
 # --- sources -----------------------------------------------------------------------------------------------------
@@ -474,12 +478,11 @@ def dq_freshness(spark, sf_dir):
 
 @query
 def dq_table_state(spark, sf_dir):
-    tables = _analytics(spark, sf_dir)
-    frames = [
-        quality.table_state_checks(spark, table, tables[table], keys, AS_OF)
-        for table, keys in settings.WATCHED_TABLES.items()
-    ]
-    frames.append(quality.table_state_checks(spark, "outbreak_predictions", None, [], AS_OF))
+    """Tables are looked up in the catalog, which has no predictions yet."""
+    watched = {**settings.WATCHED_TABLES, "outbreak_predictions": []}
+    database = _refreshed(spark, sf_dir, "table-state")
+    tables = {table: store.read_table(spark, database, table) for table in watched}
+    frames = [quality.table_state_checks(spark, table, tables[table], keys, AS_OF) for table, keys in watched.items()]
     return reduce(DataFrame.unionByName, frames)
 
 
@@ -562,10 +565,10 @@ def alert_feed(spark, sf_dir):
 
 @query
 def alert_cycle(spark, sf_dir):
-    root = _stored(spark, sf_dir, "cycle")
+    database = _stored(spark, sf_dir, "cycle")
     for moment in POLLS:
-        refresh.alert_cycle(spark, root, moment, ALERT_LIMITS)
-    return store.read_history(spark, root, "alert_log")
+        refresh.alert_cycle(spark, database, moment, ALERT_LIMITS)
+    return store.read_table(spark, database, "alert_log")
 
 
 def _bed_event_alerts(hospital: DataFrame) -> DataFrame:
@@ -705,41 +708,44 @@ def chart_recent_checks(spark, sf_dir):
 
 @query
 def sink_full_refresh(spark, sf_dir):
-    root = work_dir(spark, "full-refresh")
+    """The second refresh replaces the first, also on dates that it has no rows for."""
+    database = _database(spark, "full-refresh")
+    early = events.clean(_typed(spark, sf_dir)).where(F.col("timestamp") < "2024-01-10")
+    store.refresh_tables(spark, database, {"hourly_event_rate": aggregates.hourly_event_rate(early)})
     results = _analytics(spark, sf_dir)
-    store.refresh_tables(spark, root, results)
-    return reports.table_state({table: store.read_table(spark, root, table) for table in results})
+    store.refresh_tables(spark, database, results)
+    return reports.table_state({table: store.read_table(spark, database, table) for table in results})
+
+
+def _refreshed(spark, sf_dir, purpose: str) -> str:
+    database = _database(spark, purpose)
+    refresh.refresh_analytics(spark, events.clean(_typed(spark, sf_dir)), database)
+    return database
 
 
 @query
 def pipeline_refresh(spark, sf_dir):
-    root = work_dir(spark, "pipeline")
-    refresh.refresh_analytics(spark, events.clean(_typed(spark, sf_dir)), root)
-    return store.read_table(spark, root, "hourly_event_rate")
+    return store.read_table(spark, _refreshed(spark, sf_dir, "pipeline"), "hourly_event_rate")
 
 
 @query
 def pipeline_refresh_state(spark, sf_dir):
-    root = work_dir(spark, "pipeline")
-    refresh.refresh_analytics(spark, events.clean(_typed(spark, sf_dir)), root)
-    return reports.table_state(refresh.read_analytics(spark, root))
+    return reports.table_state(refresh.read_analytics(spark, _refreshed(spark, sf_dir, "pipeline")))
 
 
 @query
 def predictions_refresh(spark, sf_dir):
-    root = work_dir(spark, "predictions")
-    refresh.refresh_analytics(spark, events.clean(_typed(spark, sf_dir)), root)
-    refresh.refresh_predictions(spark, root, AS_OF)
-    return store.read_table(spark, root, "outbreak_predictions")
+    database = _refreshed(spark, sf_dir, "predictions")
+    refresh.refresh_predictions(spark, database, AS_OF)
+    return store.read_table(spark, database, "outbreak_predictions")
 
 
 @query
 def dq_history_append(spark, sf_dir):
-    root = work_dir(spark, "history")
-    refresh.refresh_analytics(spark, events.clean(_typed(spark, sf_dir)), root)
-    refresh.refresh_predictions(spark, root, AS_OF)
-    refresh.record_checks(spark, root, EARLIER_CHECK)
-    return refresh.record_checks(spark, root, LATER_CHECK)
+    database = _refreshed(spark, sf_dir, "history")
+    refresh.refresh_predictions(spark, database, AS_OF)
+    refresh.record_checks(spark, database, EARLIER_CHECK)
+    return refresh.record_checks(spark, database, LATER_CHECK)
 
 
 @query
@@ -747,17 +753,41 @@ def pipeline_from_raw(spark, sf_dir):
     root = work_dir(spark, "from-raw")
     _raw(spark, sf_dir).write.parquet(f"{root}/raw")
     messages = events.read_messages(spark, "parquet", f"{root}/raw")
-    refresh.results_from_raw(spark, messages, f"{root}/tables", TEAM, AS_OF)
-    return store.read_table(spark, f"{root}/tables", "outbreak_predictions")
+    database = _database(spark, "from-raw-tables")
+    refresh.results_from_raw(spark, messages, database, TEAM, AS_OF)
+    return store.read_table(spark, database, "outbreak_predictions")
 
 
 @query
 def retention_clean_up(spark, sf_dir):
-    root = work_dir(spark, "retention")
-    for _ in range(2):
-        refresh.refresh_analytics(spark, events.clean(_typed(spark, sf_dir)), root)
-    store.clean_up(spark, root, AS_OF, grace=timedelta(0))
-    return store.read_table(spark, root, "hourly_event_rate")
+    database = _refreshed(spark, sf_dir, "retention")
+    store.clean_up(spark, database, AS_OF)
+    return store.read_table(spark, database, "hourly_event_rate")
+
+
+SLICES = 3
+
+
+def _slices(spark, sf_dir) -> list[DataFrame]:
+    """The events in the order of their numbers: each slice has rows of all dates, so later ones bring late rows."""
+    typed = events.clean(_typed(spark, sf_dir))
+    return [typed.where(F.col("offset") % SLICES == k) for k in range(SLICES)]
+
+
+def _incremental(table: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The table after three slices of events, the second of which was merged twice."""
+        database = _database(spark, "incremental")
+        for k, part in enumerate(_slices(spark, sf_dir)):
+            for _ in range(2 if k == 1 else 1):
+                refresh.merge_events(spark, part, database, f"slice-{k}", [table])
+        return store.read_table(spark, database, table)
+
+    return run
+
+
+for _table in refresh.ANALYTICS:
+    query(_incremental(_table), f"incremental_{_table}")
 
 
 # --- streams -----------------------------------------------------------------------------------------------------
@@ -794,33 +824,61 @@ def publish_routed(spark, sf_dir):
 
 def _streamed(spark, result: DataFrame, name: str) -> DataFrame:
     root = work_dir(spark, name)
-    rates.run_to_files(result, f"{root}/result", f"{root}/checkpoint").awaitTermination()
+    ingest.append_to_files(result, f"{root}/result", f"{root}/checkpoint").awaitTermination()
     return spark.read.schema(result.schema).parquet(f"{root}/result")
 
 
-@query
-def stream_hourly_rate(spark, sf_dir):
-    return _streamed(spark, rates.hourly_event_rate(_typed_stream(spark, sf_dir)), "stream-rate")
+def _refreshed_by_stream(spark, sf_dir, *tables: str) -> str:
+    """A database whose tables a stream has kept up to date over three runs, each with new events."""
+    root = work_dir(spark, "stream")
+    database = _database(spark, "stream-tables")
+    for part in _slices(spark, sf_dir):
+        part.write.mode("append").parquet(f"{root}/events")
+        stream = spark.readStream.schema(part.schema).parquet(f"{root}/events")
+        rates.refresh_stream(stream, database, f"{root}/checkpoint", tables=tables).awaitTermination()
+    return database
 
 
-@query
-def stream_severity_trend(spark, sf_dir):
-    typed = _typed_stream(spark, sf_dir, schemas.SYMPTOM, schemas.HOSPITAL)
-    return _streamed(spark, rates.severity_trend(typed), "stream-severity")
+def _stream_refresh(table: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return rates.with_open_hours(spark, _refreshed_by_stream(spark, sf_dir, table), table)
+
+    return run
+
+
+for _table, _name in (
+    ("hourly_event_rate", "stream_hourly_rate"),
+    ("severity_trend", "stream_severity_trend"),
+    ("bed_availability", "stream_bed_availability"),
+    ("vaccination_trend", "stream_vaccination_trend"),
+):
+    query(_stream_refresh(_table), _name)
 
 
 @query
-def stream_bed_availability(spark, sf_dir):
-    return _streamed(spark, rates.bed_availability(_typed_stream(spark, sf_dir, schemas.HOSPITAL)), "stream-beds")
+def stream_late_events(spark, sf_dir):
+    return store.read_table(spark, _refreshed_by_stream(spark, sf_dir), "late_events")
 
 
 @query
-def stream_vaccination_trend(spark, sf_dir):
-    typed = _typed_stream(spark, sf_dir, schemas.VACCINATION)
-    return _streamed(spark, rates.vaccination_trend(typed), "stream-vaccination")
+def stream_progress(spark, sf_dir):
+    return store.read_table(spark, _refreshed_by_stream(spark, sf_dir), "stream_progress")
 
 
 @query
 def alert_cooldown_stream(spark, sf_dir):
     bed_alerts = _bed_event_alerts(_typed_stream(spark, sf_dir, schemas.HOSPITAL))
     return _streamed(spark, streaming_cooldown.emitted_alerts(bed_alerts, COOLDOWN), "stream-cooldown")
+
+
+@query
+def alert_cooldown_stream_status(spark, sf_dir):
+    """Every alert with its status, over three batches that all go back to the first day."""
+    root = work_dir(spark, "stream-cooldown")
+    found = _bed_event_alerts(_typed(spark, sf_dir, schemas.HOSPITAL))
+    for k in range(SLICES):
+        found.where(F.col("position") % SLICES == k).write.mode("append").parquet(f"{root}/alerts")
+        stream = spark.readStream.schema(found.schema).parquet(f"{root}/alerts")
+        classified = streaming_cooldown.suppress_repeats(stream, COOLDOWN)
+        ingest.append_to_files(classified, f"{root}/result", f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema(classified.schema).parquet(f"{root}/result")

@@ -63,6 +63,14 @@ def merged_event_schema() -> StructType:
     return merged
 
 
+def _typed_events() -> StructType:
+    """Cleaned events: the merged schema with a typed timestamp."""
+    typed = StructType()
+    for field in merged_event_schema().fields:
+        typed = typed.add(field.name, TS if field.name == "timestamp" else field.dataType)
+    return typed
+
+
 # Counts are BIGINT throughout: an hour of one type in one region can pass 2^31 events at cluster scale.
 RESULT_SCHEMAS = {
     "hourly_event_rate": _struct(
@@ -126,6 +134,31 @@ RESULT_SCHEMAS = {
         ("polled_at", TS, REQUIRED),
         ("status", S, REQUIRED),
     ),
+    # partial results: sums, counts and minima of the events of one batch
+    "event_rollup": _struct(
+        ("hour", TS, REQUIRED),
+        ("event_type", S, REQUIRED),
+        ("region", S, REQUIRED),
+        ("vaccine_type", S),
+        ("dose_number", I),
+        ("event_count", L, REQUIRED),
+        ("severity_sum", D),
+        ("severity_count", L, REQUIRED),
+        ("beds_sum", L),
+        ("beds_min", I),
+        ("beds_count", L, REQUIRED),
+    ),
+    "late_events": _struct(
+        ("timestamp", TS, REQUIRED), ("event_type", S, REQUIRED), ("region", S, REQUIRED), ("watermark", TS, REQUIRED)
+    ),
+    "stream_progress": _struct(
+        ("batch_number", L, REQUIRED),
+        ("newest_time", TS, REQUIRED),
+        ("row_count", L, REQUIRED),
+        ("late_count", L, REQUIRED),
+        ("watermark", TS),
+    ),
+    "stored_events": _typed_events(),
 }
 
 TIME_COLUMN = {
@@ -136,6 +169,10 @@ TIME_COLUMN = {
     "outbreak_predictions": "predicted_at",
     "data_quality_checks": "checked_at",
     "alert_log": "polled_at",
+    "event_rollup": "hour",
+    "late_events": "timestamp",
+    "stream_progress": "newest_time",
+    "stored_events": "timestamp",
 }
 
 # Row order in which each table is shown.

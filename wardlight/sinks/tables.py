@@ -1,136 +1,205 @@
-"""Result tables as date-partitioned Parquet with all-or-nothing refresh, appends, and JDBC.
+"""Result tables as partitioned catalog tables: full and incremental refresh, appends, retention, JDBC.
 
-Layout under ``root``::
-
-    <table>/version=<v>/event_date=<d>/part-*.parquet   one directory per refresh
-    <table>_history/run=<v>/event_date=<d>/part-*       append-only tables, one directory per append
-    _commits/commit=<v>/part-*.parquet                  one directory per refresh: (version, table_name)
-
-A refresh writes new version directories and then its commit. Commits are ordered by the time of the commit, so a
-refresh that starts early and ends late is current. A job reads the commits once (``current_versions``) and reads every
-table as of that map: all tables of one refresh or all of the next. A refresh that fails half-way changes nothing. No
-two jobs write into one directory, because Spark's committer stages files in the directory that it writes.
-``clean_up`` removes old dates and versions that no reader holds any more.
+All tables of one deployment live in one database of Spark's catalog and are found by name. They are partitioned by
+``event_date``, the date of their time column; partial results and what streams add also by ``batch``. A refresh is an
+``INSERT OVERWRITE``: of the whole table, or of just the partitions that the new rows have. Retention drops partitions.
+Commits, snapshots and readers during a refresh are the catalog's and table format's affair.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from datetime import date, datetime, timedelta, timezone
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, StructField, StructType
+from pyspark.sql.types import StructField
 
 from wardlight import schemas, settings
 from wardlight.functions.text import as_of_time
 
 PARTITION = "event_date"
-COMMIT_SCHEMA = "version string, table_name string, commit string"
-RUN = "run"
+BATCH = "batch"
+#: fixed: the name that catalogs give to the partition of rows without a value
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+#: partitions that one statement drops
+DROPPED_AT_ONCE = 500
+#: partition columns of the tables that have others than the date alone
+PARTITIONS = {
+    "event_rollup": [PARTITION, BATCH],
+    "late_events": [PARTITION, BATCH],
+    "stored_events": [PARTITION, "event_type"],
+}
+
+
+def partitions(table: str) -> list[str]:
+    return PARTITIONS.get(table, [PARTITION])
+
+
+def create_database(spark: SparkSession, database: str, location: str | None = None) -> str:
+    """The database, made if it is missing: in ``location``, by default in the warehouse of the catalog."""
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
+    return database
+
+
+def exists(spark: SparkSession, database: str, table: str) -> bool:
+    return spark.catalog.tableExists(f"`{database}`.`{table}`")
+
+
+def existing(spark: SparkSession, database: str, *tables: str) -> list[str]:
+    """Those of ``tables`` that the catalog has; the catalog is asked once."""
+    found = {entry.name for entry in spark.catalog.listTables(f"`{database}`")}
+    return [table for table in tables if table in found]
 
 
-def new_version() -> str:
-    """Versions sort by time; the suffix keeps two refreshes of the same microsecond apart."""
-    return f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+def _declared(field: StructField) -> str:
+    return f"`{field.name}` {field.dataType.simpleString()}{'' if field.nullable else ' NOT NULL'}"
+
+
+def create_table(spark: SparkSession, database: str, table: str) -> str:
+    """The qualified name of a table, which is made from its declared schema if it is missing."""
+    own = [f for f in schemas.RESULT_SCHEMAS[table].fields if f.name not in partitions(table)]
+    keys = [f"`{name}` {'DATE' if name == PARTITION else 'STRING'}" for name in partitions(table)]
+    name = f"`{database}`.`{table}`"
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({', '.join([*map(_declared, own), *keys])}) "
+        # an overwrite replaces the partitions that it has rows for, whatever the session's setting
+        f"USING parquet OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY ({', '.join(f'`{k}`' for k in partitions(table))})"
+    )
+    return name
+
+
+def _value(field: StructField, table: str) -> Column:
+    """A column in its declared type. File tables do not enforce NOT NULL, so a missing value is an error here."""
+    value = F.col(field.name).cast(field.dataType)
+    if field.nullable:
+        return value.alias(field.name)
+    missing = F.raise_error(F.lit(f"{table}.{field.name} must not be NULL")).cast(field.dataType)
+    return F.coalesce(value, missing).alias(field.name)
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Columns and types of the declared result table."""
-    return df.select(*[F.col(field.name).cast(field.dataType) for field in schemas.RESULT_SCHEMAS[table].fields])
+    return df.select(*[_value(field, table) for field in schemas.RESULT_SCHEMAS[table].fields])
+
 
+def _write(
+    spark: SparkSession, database: str, table: str, df: DataFrame, overwrite: bool, batch: str | None = None
+) -> Row:
+    """``rows`` and ``keys`` of what was written: how many rows and which partitions, counted by the write itself.
 
-def _write(df: DataFrame, table: str, path: str, mode: str) -> None:
+    The metrics are taken by the tasks that write, behind the last shuffle, so a task that is repeated counts once.
+    """
+    name = create_table(spark, database, table)
     dated = conform(df, table).withColumn(PARTITION, F.to_date(schemas.TIME_COLUMN[table]))
-    # one file per date; AQE merges small dates and splits a date that is too large for one file
-    dated.hint("rebalance", PARTITION).write.mode(mode).partitionBy(PARTITION).parquet(path)
+    if batch is not None:
+        dated = dated.withColumn(BATCH, F.lit(batch))
+    keys = partitions(table)
+    rows = dated.select(*[c for c in dated.columns if c not in keys], *keys)
+    observed = Observation()
+    # one file per partition; AQE merges small ones and splits what is too large for one file
+    counted = rows.hint("rebalance", *keys).observe(
+        observed,
+        F.count("*").alias("rows"),
+        F.collect_set(F.concat_ws("/", *[F.coalesce(F.col(k).cast("string"), F.lit(NULL_PARTITION)) for k in keys])).alias("keys"),
+    )
+    counted.write.insertInto(name, overwrite=overwrite)
+    return Row(rows=observed.get["rows"], keys=observed.get["keys"])
+
+
+def refresh_table(spark: SparkSession, database: str, table: str, df: DataFrame, batch: str | None = None) -> int:
+    """Replace the contents of a table; the number of its rows.
+
+    The new partitions replace the old ones as one commit, then those that have no row any more are dropped. A refresh
+    that fails before its commit changes nothing; one that fails after it can be repeated.
+    """
+    written = _write(spark, database, table, df, True, batch)
+    kept = set(written.keys)
+    drop_partitions(spark, database, table, lambda values: "/".join(values.values()) not in kept)
+    return written.rows
 
 
-def write_version(df: DataFrame, root: str, table: str, version: str) -> None:
-    _write(df, table, f"{root}/{table}/version={version}", "errorifexists")
+def refresh_dates(spark: SparkSession, database: str, table: str, df: DataFrame, batch: str | None = None) -> int:
+    """Replace the partitions that ``df`` has rows for, as one commit, and leave all others; the number of its rows."""
+    return _write(spark, database, table, df, True, batch).rows
 
 
-def write_versions(results: Mapping[str, DataFrame], root: str, version: str) -> None:
-    """Write all tables of one refresh; their jobs run side by side, since each is too small to fill a cluster."""
-    with ThreadPoolExecutor(max_workers=len(results)) as pool:
-        writes = [pool.submit(write_version, df, root, table, version) for table, df in results.items()]
-    for write in writes:
-        write.result()
+def append_rows(spark: SparkSession, database: str, table: str, df: DataFrame) -> int:
+    """Add rows to a table such as the history of quality checks; how many they are."""
+    return _write(spark, database, table, df, False).rows
 
 
-def commit(spark: SparkSession, root: str, tables: list[str], version: str) -> None:
-    names = ", ".join(f"'{table}'" for table in tables)
-    rows = spark.range(1, numPartitions=1).selectExpr(f"'{version}' AS version", f"explode(array({names})) AS table_name")
-    rows.write.parquet(f"{root}/_commits/commit={new_version()}")
+def drop_partitions(
+    spark: SparkSession, database: str, table: str, drop: Callable[[dict[str, str]], bool]
+) -> int:
+    """Drop the partitions whose values, by name, ``drop`` is true for; how many they are.
 
+    The driver handles the names of partitions only.
+    """
+    name = f"`{database}`.`{table}`"
+    old = []
+    for row in spark.sql(f"SHOW PARTITIONS {name}").toLocalIterator():
+        values = {key: unquote(value) for key, value in (part.split("=", 1) for part in row[0].split("/"))}
+        if drop(values):
+            old.append(", ".join(f"`{key}` = {_literal(value)}" for key, value in values.items()))
+    for first in range(0, len(old), DROPPED_AT_ONCE):
+        specs = ", ".join(f"PARTITION ({spec})" for spec in old[first : first + DROPPED_AT_ONCE])
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {specs}")
+    return len(old)
 
-def refresh_tables(spark: SparkSession, root: str, results: Mapping[str, DataFrame]) -> str:
-    """Replace the contents of all given tables together; any failure leaves the previous contents in place."""
-    version = new_version()
-    write_versions(results, root, version)
-    commit(spark, root, list(results), version)
-    return version
 
+def _literal(value: str) -> str:
+    if value == NULL_PARTITION:
+        return "NULL"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def _commits(spark: SparkSession, root: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(COMMIT_SCHEMA).parquet(f"{root}/_commits")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+
+def side_by_side(write: Callable[[str, DataFrame], None], results: Mapping[str, DataFrame]) -> None:
+    """Write several tables at a time, since each is too small to fill a cluster; raises if one of them fails."""
+    with ThreadPoolExecutor(max_workers=max(len(results), 1)) as pool:
+        writes = [pool.submit(write, table, df) for table, df in results.items()]
+    for job in writes:
+        job.result()
 
 
-def current_versions(spark: SparkSession, root: str) -> dict[str, str]:
-    """The version of each table that is current now, from one read of the commits."""
-    commits = _commits(spark, root)
-    if commits is None:
-        return {}
-    rows = commits.groupBy("table_name").agg(F.max_by("version", "commit").alias("version")).collect()
-    return {row["table_name"]: row["version"] for row in rows}
+def refresh_tables(spark: SparkSession, database: str, results: Mapping[str, DataFrame]) -> None:
+    side_by_side(lambda table, df: refresh_table(spark, database, table, df), results)
 
 
-def _open(spark: SparkSession, path: str, table: str) -> DataFrame:
-    stored = [*schemas.RESULT_SCHEMAS[table].fields, StructField(RUN, StringType()), StructField(PARTITION, DateType())]
-    return spark.read.schema(StructType(stored)).parquet(path)
+def with_partitions(spark: SparkSession, database: str, table: str) -> DataFrame:
+    """All columns of a table, the partition columns among them."""
+    return spark.table(f"`{database}`.`{table}`")
 
 
-def _read(spark: SparkSession, path: str, table: str, since, until) -> DataFrame:
-    """Rows of a table; a time range is also put on the date partitions, so other dates are not read."""
-    time = F.col(schemas.TIME_COLUMN[table])
-    df = _open(spark, path, table)
+def between(df: DataFrame, time: str, since, until) -> DataFrame:
+    """Rows from ``since`` and before ``until``; the range is also put on the dates, so others are not read."""
     if since is not None:
         start = as_of_time(since)
-        df = df.where((time >= start) & (F.col(PARTITION) >= F.to_date(start)))
+        df = df.where((F.col(time) >= start) & (F.col(PARTITION) >= F.to_date(start)))
     if until is not None:
         end = as_of_time(until)
-        df = df.where((time < end) & (F.col(PARTITION) <= F.to_date(end)))
-    return df.drop(PARTITION, RUN)
+        df = df.where((F.col(time) < end) & (F.col(PARTITION) <= F.to_date(end)))
+    return df
 
 
-def read_table(
-    spark: SparkSession, root: str, table: str, since=None, until=None, versions: Mapping[str, str] | None = None
-) -> DataFrame | None:
-    """The contents of a table as of ``versions`` (by default the current ones), or None if it was never written."""
-    version = (current_versions(spark, root) if versions is None else versions).get(table)
-    if version is None:
+def read_table(spark: SparkSession, database: str, table: str, since=None, until=None) -> DataFrame | None:
+    """The declared columns of a table, or None if the catalog has no such table."""
+    if not exists(spark, database, table):
         return None
-    return _read(spark, f"{root}/{table}/version={version}", table, since, until)
+    rows = between(with_partitions(spark, database, table), schemas.TIME_COLUMN[table], since, until)
+    return rows.select(*schemas.RESULT_SCHEMAS[table].fieldNames())
 
 
-def read_newest(
-    spark: SparkSession, root: str, table: str, rows: int | None, versions: Mapping[str, str]
-) -> DataFrame | None:
+def read_newest(spark: SparkSession, database: str, table: str, rows: int | None) -> DataFrame | None:
     """The newest dates of a table that hold ``rows`` rows between them; with None, all dates.
 
     Rows are counted by date from file footers. No date is empty, so at most ``rows`` counts reach the driver.
     """
-    if table not in versions:
+    if not exists(spark, database, table):
         return None
-    df = _open(spark, f"{root}/{table}/version={versions[table]}", table)
+    df = with_partitions(spark, database, table)
     counts = [] if rows is None else df.groupBy(PARTITION).count().orderBy(F.desc(PARTITION)).limit(rows).collect()
     held = 0
     for row in counts:
@@ -138,99 +207,24 @@ def read_newest(
         if held >= rows and row[PARTITION] is not None:
             df = df.where(F.col(PARTITION) >= F.lit(row[PARTITION]))
             break
-    return df.drop(PARTITION, RUN)
-
-
-def append_rows(df: DataFrame, root: str, table: str) -> None:
-    """Add rows to an append-only table such as the history of quality checks."""
-    _write(df, table, f"{root}/{table}_history/{RUN}={new_version()}", "errorifexists")
-
-
-def read_history(spark: SparkSession, root: str, table: str, since=None, until=None) -> DataFrame | None:
-    try:
-        return _read(spark, f"{root}/{table}_history", table, since, until)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
-def _written_at(version: str) -> datetime:
-    return datetime.strptime(version.split("-")[0], "%Y%m%dT%H%M%S%f").replace(tzinfo=timezone.utc)
-
-
-class _Folders:
-    """Listing and deleting through the file system that Spark itself uses for ``root``."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self._path = spark._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-        self.removed: list[str] = []
-
-    def values(self, path: str, name: str) -> list[str]:
-        """The values of the partition folders ``<name>=<value>`` in a folder; none if it does not exist."""
-        folder = self._path(path)
-        found = self._fs.listStatus(folder) if self._fs.exists(folder) else []
-        names = [status.getPath().getName() for status in found]
-        return [text.split("=", 1)[1] for text in names if text.startswith(f"{name}=")]
-
-    def remove(self, path: str) -> None:
-        if self._fs.delete(self._path(path), True):
-            self.removed.append(path)
+    return df.select(*schemas.RESULT_SCHEMAS[table].fieldNames())
 
 
 def clean_up(
-    spark: SparkSession,
-    root: str,
-    as_of=None,
-    days: int = settings.RETENTION_DAYS,
-    grace: timedelta = timedelta(hours=24),
+    spark: SparkSession, database: str, as_of=None, days: int = settings.RETENTION_DAYS, tables: list[str] | None = None
 ) -> list[str]:
-    """Remove what is out of date, as whole folders, and return their paths.
-
-    * Date folders, of current tables and histories, that lie wholly before ``as_of`` less ``days``. Rows of the date
-      that the limit falls into stay.
-    * Versions that another commit replaced longer than ``grace`` ago, and versions that were never committed and are
-      older than that: left behind by a failed refresh. A job that reads or writes for less than ``grace`` is safe.
-    * Commits that are no table's newest and are older than ``grace``.
+    """Drop the partitions of all tables that lie wholly before ``as_of`` less ``days``; the tables that had any.
 
-    The driver handles folder names only: dates, versions and commits, whose number this job itself keeps small.
+    Rows of the date that the limit falls into stay, and so do rows without a time.
     """
     cutoff = as_of_time(as_of) - F.expr(f"INTERVAL {int(days)} DAYS")
-    oldest: date = spark.range(1).select(F.to_date(cutoff)).first()[0]
-    before = datetime.now(timezone.utc) - grace
-    folders = _Folders(spark, root)
-
-    def remove_dates(path: str) -> bool:
-        """True if the folder holds no date any more."""
-        dates = folders.values(path, PARTITION)
-        gone = [text for text in dates if text[:4].isdigit() and date.fromisoformat(text) < oldest]
-        for text in gone:
-            folders.remove(f"{path}/{PARTITION}={text}")
-        return len(gone) == len(dates)
-
-    commits = _commits(spark, root)
-    rows = [] if commits is None else commits.orderBy("commit").collect()
-    current = {row["table_name"]: row for row in rows}
-    for table, newest in current.items():
-        own = [row for row in rows if row["table_name"] == table]
-        replaced = {row["version"]: _written_at(later["commit"]) for row, later in zip(own, own[1:])}
-        for version in folders.values(f"{root}/{table}", "version"):
-            path = f"{root}/{table}/version={version}"
-            if version == newest["version"]:
-                remove_dates(path)
-            elif replaced.get(version, _written_at(version)) < before:
-                folders.remove(path)
-    for table in schemas.RESULT_SCHEMAS:
-        for run in folders.values(f"{root}/{table}_history", RUN):
-            path = f"{root}/{table}_history/{RUN}={run}"
-            if remove_dates(path) and _written_at(run) < before:
-                folders.remove(path)
-    kept = {row["commit"] for row in current.values()}
-    for commit_id in {row["commit"] for row in rows} - kept:
-        if _written_at(commit_id) < before:
-            folders.remove(f"{root}/_commits/commit={commit_id}")
-    return folders.removed
+    oldest = spark.range(1).select(F.to_date(cutoff)).first()[0].isoformat()
+
+    def out_of_date(values: dict[str, str]) -> bool:
+        return values[PARTITION] != NULL_PARTITION and values[PARTITION] < oldest
+
+    found = existing(spark, database, *(tables or schemas.RESULT_SCHEMAS))
+    return [table for table in found if drop_partitions(spark, database, table, out_of_date)]
 
 
 def scan_result_table(df: DataFrame, table: str) -> DataFrame:
@@ -239,22 +233,13 @@ def scan_result_table(df: DataFrame, table: str) -> DataFrame:
     return df.orderBy(time, *[name for name in schemas.PRESENTATION_ORDER[table] if name != time])
 
 
-def write_events(events: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Cleaned events by date and type, so that a reader of one type or period skips the rest.
-
-    The rebalance hint groups rows by directory but lets AQE split a hot date or type over many tasks.
-    """
-    dated = events.withColumn(PARTITION, F.to_date("timestamp"))
-    dated.hint("rebalance", PARTITION, "event_type").write.mode(mode).partitionBy(PARTITION, "event_type").parquet(path)
-
-
 def write_jdbc(
     df: DataFrame, table: str, url: str, properties: Mapping[str, str], refresh: bool = True, writers: int = 8
 ) -> None:
     """Write a result table to a database.
 
     With ``refresh`` the rows replace the table's contents but keep its definition. Partitions are written in
-    parallel and commit one by one, so unlike ``refresh_tables`` this is not atomic.
+    parallel and commit one by one, so a reader can see a part of them.
     """
     mode = "overwrite" if refresh else "append"
     writer = conform(df, table).repartition(writers).write.mode(mode).option("truncate", str(refresh).lower())

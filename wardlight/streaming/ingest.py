@@ -57,3 +57,8 @@ def _start(
     if partition_by:
         writer = writer.partitionBy(partition_by)
     return writer.trigger(availableNow=True).start(path)
+
+
+def append_to_files(result: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append the rows of a stream to Parquet until the input is used up."""
+    return _start(result, checkpoint, "parquet", path)

@@ -1,69 +1,111 @@
-"""The hourly aggregates as streaming queries with a watermark.
+"""The four aggregates kept up to date by a stream, with late events and open hours accounted for.
 
-They emit an hour once the watermark has passed its end, so state holds only the hours still open. Unlike the batch
-refresh, which recounts everything, rows later than the watermark are left out.
+Every micro-batch is merged into the stored tables by ``refresh.merge_events``, whose definitions of the aggregates are
+those of the batch jobs, so the tables equal a full refresh at any time. An hour is closed once the newest event time
+seen so far is ``lateness`` past its end. Events of hours that were closed before their batch are counted all the same,
+and kept in a table of their own with the watermark that they missed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from wardlight.functions.scoring import severity_score
-from wardlight.operators.aggregates import counted_vaccination
+from wardlight import schemas
+from wardlight.plans import refresh
+from wardlight.sinks import tables as store
 
 LATENESS = "2 hours"
-
-
-def _hours(events: DataFrame, lateness: str):
-    return events.withWatermark("timestamp", lateness), F.window("timestamp", "1 hour").alias("w")
-
-
-def hourly_event_rate(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    events, window = _hours(events, lateness)
-    rate = events.groupBy(window, "event_type", "region").agg(F.count("*").alias("event_count"))
-    return rate.select(F.col("w.start").alias("hour"), "event_type", "region", "event_count")
-
-
-def severity_trend(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    scored = events.withColumn("score", severity_score(F.col("severity"))).where(F.col("score").isNotNull())
-    scored, window = _hours(scored, lateness)
-    trend = scored.groupBy(window, "region", "event_type").agg(
-        F.avg("score").alias("avg_severity"), F.count("*").alias("sample_count")
-    )
-    return trend.select(
-        F.col("w.start").alias("window_start"),
-        F.col("w.end").alias("window_end"),
-        "region",
-        "event_type",
-        "avg_severity",
-        "sample_count",
+LATE, PROGRESS = "late_events", "stream_progress"
+
+
+def _closed(hour: Column, watermark: Column) -> Column:
+    return F.coalesce(hour + F.expr("INTERVAL 1 HOUR") <= watermark, F.lit(False))
+
+
+def newest_time(spark: SparkSession, database: str, before: int | None = None) -> DataFrame:
+    """One row: the newest event time of the batches numbered below ``before``, or of all; NULL if there is none."""
+    progress = store.with_partitions(spark, database, PROGRESS)
+    if before is not None:
+        progress = progress.where(F.col("batch_number") < before)
+    return progress.agg(F.max("newest_time").alias("newest_time"))
+
+
+def merge_batch(
+    spark: SparkSession,
+    events: DataFrame,
+    database: str,
+    stream: str,
+    number: int,
+    lateness: str = LATENESS,
+    tables: Sequence[str] = refresh.ANALYTICS,
+) -> None:
+    """Merge one micro-batch of cleaned events; a batch that is repeated counts once.
+
+    Late events and progress come from one look at the batch. The watermark is that of the batches before this one, so
+    it is the same when a batch is repeated. Progress is one row for each batch.
+    """
+    store.create_table(spark, database, PROGRESS)
+    counted = events.where(F.col("event_type").isin(schemas.EVENT_TYPES))
+    watermark = newest_time(spark, database, number).first()[0]
+    limit = F.lit(watermark).cast("timestamp") - F.expr(f"INTERVAL {lateness}")
+    late = _closed(F.date_trunc("hour", F.col("timestamp")), limit)
+    refresh.merge_events(spark, counted, database, f"{stream}-{number}", tables)
+    late_rows = counted.where(late).select("timestamp", "event_type", "region", limit.alias("watermark"))
+    store.refresh_dates(spark, database, LATE, late_rows, f"{stream}-{number}")
+    seen = counted.agg(
+        F.lit(number).alias("batch_number"),
+        F.max("timestamp").alias("newest_time"),
+        F.count("*").alias("row_count"),
+        F.count_if(late).alias("late_count"),
+        limit.alias("watermark"),
+    ).where(F.col("row_count") > 0)
+    store.append_rows(spark, database, PROGRESS, seen)
+
+
+def refresh_stream(
+    events: DataFrame,
+    database: str,
+    checkpoint: str,
+    stream: str = "stream",
+    lateness: str = LATENESS,
+    tables: Sequence[str] = refresh.ANALYTICS,
+) -> StreamingQuery:
+    """Merge what has arrived since the last run into the stored tables, and stop.
+
+    ``stream`` names the partial results of this stream: a new checkpoint, whose batches are numbered anew, needs
+    another name and progress of its own database. One stream writes to a database at a time.
+    """
+
+    def merge(batch: DataFrame, number: int) -> None:
+        kept = batch.persist()  # rows, late rows and progress are three looks at one batch
+        try:
+            merge_batch(batch.sparkSession, kept, database, stream, number, lateness, tables)
+        finally:
+            kept.unpersist()
+
+    return (
+        events.writeStream.foreachBatch(merge)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
 
 
-def bed_availability(hospital: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    known, window = _hours(hospital.where(F.col("available_beds").isNotNull()), lateness)
-    beds = known.groupBy(window, "region").agg(
-        F.avg("available_beds").alias("avg_available_beds"),
-        F.min("available_beds").alias("min_available_beds"),
-        F.count("*").alias("sample_count"),
-    )
-    return beds.select(
-        F.col("w.start").alias("hour"), "region", "avg_available_beds", "min_available_beds", "sample_count"
-    )
+def with_open_hours(spark: SparkSession, database: str, table: str, lateness: str = LATENESS) -> DataFrame:
+    """A stored aggregate with ``is_open``: whether its hour still takes events that are not late."""
+    rows = store.read_table(spark, database, table)
+    newest = newest_time(spark, database).select((F.col("newest_time") - F.expr(f"INTERVAL {lateness}")).alias("limit"))
+    hour = F.col(schemas.TIME_COLUMN[table])
+    return rows.join(F.broadcast(newest), F.lit(True)).withColumn("is_open", ~_closed(hour, F.col("limit"))).drop("limit")
 
 
-def vaccination_trend(vaccination: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    counted, window = _hours(vaccination.where(counted_vaccination()), lateness)
-    trend = counted.groupBy(window, "region", "vaccine_type", "dose_number").agg(
-        F.count("*").alias("vaccination_count")
+def late_counts(spark: SparkSession, database: str) -> DataFrame:
+    """Late events by hour, type and region, with the least watermark that they missed."""
+    late = store.read_table(spark, database, LATE)
+    return late.groupBy(F.date_trunc("hour", "timestamp").alias("hour"), "event_type", "region").agg(
+        F.count("*").alias("late_events"), F.min("watermark").alias("first_watermark")
     )
-    return trend.select(
-        F.col("w.start").alias("hour"), "region", "vaccine_type", "dose_number", "vaccination_count"
-    )
-
-
-def run_to_files(result: DataFrame, path: str, checkpoint: str):
-    """Append closed hours to Parquet until the input is used up."""
-    query = result.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-    return query.trigger(availableNow=True).start(path)
