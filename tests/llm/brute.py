@@ -138,39 +138,41 @@ def top_k(rows, is_query, k=20, scale=64):
     return out
 
 
-def line_dedup(rows, run_lines, window):
-    """Text of each row without repeated runs, by the operator's rules; ``rows``: (doc_id, order key, text)."""
+WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 
-    def md5(x):
-        return hashlib.md5(x.encode()).hexdigest()
 
+def line_words(line):
+    n = len(WORD.findall(line))
+    return max(n, len(line) // 10) if n else 0
+
+
+def line_dedup(rows, run_words=8):
+    """(doc_id, lines removed, text): every run of lines of enough words that occurs before goes, whichever way it is found.
+
+    ``rows``: (doc_id, order key, text). All runs of all documents are compared; lines without words are passed over, and go between two that go.
+    """
     docs = {}
     for d, key, text in rows:
-        docs[(d is not None, d or 0, key)] = [md5(x) for x in (text or "").split("\n")]
-    prints = []
-    for doc, lines in docs.items():
-        grams = [md5("".join(lines[i : i + run_lines])) for i in range(len(lines) - run_lines + 1)]
-        width, places = min(window, len(grams)), set()
-        for i in range(len(grams) - width + 1 if grams else 0):
-            places.add(min(range(i, i + width), key=lambda j: (grams[j], -j)))
-        prints += [(grams[p], doc, p) for p in places]
-    first = {}
-    for g, doc, p in prints:
-        first[g] = min(first.get(g, (doc, p)), (doc, p))
-    deleted = defaultdict(set)
-    for g, doc, p in prints:
-        source, q = first[g]
-        if (source, q) == (doc, p):
-            continue
-        own, other, shift = docs[doc], docs[source], p - q
-        run = []
-        for i in range(max(shift, 0), min(len(own), len(other) + shift) + 1):
-            if i < min(len(own), len(other) + shift) and own[i] == other[i - shift]:
-                run.append(i)
-                continue
-            if len(run) >= run_lines:
-                deleted[doc] |= set(run)
-            run = []
+        lines = (text or "").split("\n")
+        docs[(d is not None, d or 0, key)] = [(i, x, line_words(x)) for i, x in enumerate(lines) if line_words(x)]
+    seen, deleted = set(), defaultdict(set)
+    for doc in sorted(docs):
+        lines = docs[doc]
+        for a in range(len(lines)):
+            run, words = [], 0
+            for z in range(a, len(lines)):
+                run.append(lines[z][1])
+                words += lines[z][2]
+                if words >= run_words:
+                    if tuple(run) not in seen:
+                        seen.add(tuple(run))
+                        if len(run) > 40:
+                            break
+                        continue
+                    deleted[doc] |= {i for i, _, _ in lines[a : z + 1]}
+        for (p, _, _), (q, _, _) in zip(lines, lines[1:]):
+            if p in deleted[doc] and q in deleted[doc]:
+                deleted[doc] |= set(range(p, q))
     out = []
     for d, key, text in rows:
         gone = deleted[(d is not None, d or 0, key)]

@@ -162,41 +162,65 @@ def test_line_dedup(spark, corpus):
     keys = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("k"), "text").collect()
     out = line_dedup.dedup(spark, docs)
     assert set(docs.columns) <= set(out.columns)
-    want = brute.line_dedup([tuple(r) for r in keys], line_dedup.RUN_LINES, line_dedup.WINDOW)
-    same([(r["doc_id"], r["n_removed"], r["text"]) for r in out.collect()], want)
+    same([(r["doc_id"], r["n_removed"], r["text"]) for r in out.collect()], brute.line_dedup([tuple(r) for r in keys]))
+
+
+def test_line_dedup_edges(spark):
+    long = "x" * 90
+    texts = [
+        "one two three four\nfive six seven eight\nfirst tail",  # a run of two lines
+        "head\none two three four\n\n}\nfive six seven eight\nother tail",  # the same, lines without words between
+        "one two three four\nalone", "c\n\n\nd", "z\n}\n}\nw", "c\n\n\nd", "z\n}\n}\nw",
+        f"a\n{long}\nb", f"{long}", f"{long}\n{long}",
+        "short\nshort\nshort", "x y\nx y\nx y\nx y\nx y\nx y\nx y\nx y",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    out = {r["doc_id"]: r["text"] for r in line_dedup.dedup(spark, docs).collect()}
+    assert out[1] == "head\nother tail" and out[2] == "one two three four\nalone"
+    assert out[3] == out[5] == "c\n\n\nd" and out[4] == out[6] == "z\n}\n}\nw"
+    assert (out[7], out[8], out[9], out[10]) == (f"a\n{long}\nb", "", "", "short\nshort\nshort")
+    assert out[11] == "x y"  # runs may overlap the ones before
+    want = brute.line_dedup([(d, 0, t) for d, t in enumerate(texts)])
+    assert out == {d: t for d, _, t in want}
+
+
+@pytest.mark.parametrize("run_words", [1, 8, 13])
+def test_line_dedup_finds_every_repeated_run(spark, run_words):
+    """Runs of 1 to 10 lines of any length that other documents hold too, with common short lines around them."""
+    rng, rows = random.Random(5), []
+    shared = [" ".join(["s"] * rng.choice([1, 1, 2, 3, 9, 14])) + f" {i}" for i in range(30)]
+    common = ["", "}", "ok", "the end", "---"]
+    for d in range(70):
+        lines = [rng.choice([f"u{d} {i}", rng.choice(common), f"own line {i} of {d} with several more words"]) for i in range(20)]
+        for _ in range(3):
+            at, start, n = rng.randrange(18), rng.randrange(20), rng.randrange(1, 11)
+            lines[at:at] = shared[start : start + n]
+        rows.append((d, "\n".join(lines)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = line_dedup.dedup(spark, docs, run_words).collect()
+    same(
+        [(r["doc_id"], r["n_removed"], r["text"]) for r in out],
+        brute.line_dedup([(d, 0, t) for d, t in rows], run_words),
+    )
 
 
-def test_line_dedup_finds_long_runs(spark, edge_docs):
-    out = {r["doc_id"]: r["text"] for r in line_dedup.dedup(spark, edge_docs).where("doc_id in (14, 15, 16)").collect()}
-    assert out[14] == "l1\nl2\nl3\nl4\nl5\nl6"
-    assert out[15] == "other\nother"
+def test_equal_windows_have_equal_fingerprints(spark):
+    """Any run of enough words holds a window whose fingerprint does not depend on the lines around the run."""
+    run = "alpha beta\n\ngamma delta epsilon\nzeta\neta theta iota kappa"
+    texts = [(0, f"p q\n{run}\nr s t"), (1, f"other lines\n}}\n{run}"), (2, run)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    rows = docs.select("doc_id", F.explode(line_dedup.windows(F.col("text"), 8)).alias("w")).select("doc_id", "w.*").collect()
+    prints = [{(bytes(r["print"]), bytes(r["run"])) for r in rows if r["doc_id"] == d} for d in range(3)]
+    assert prints[2] and prints[2] <= prints[0] & prints[1]
 
 
-def test_line_dedup_finds_every_repeated_run(spark):
-    """Against all pairs of places, whichever way runs are found: runs of two lines, and long lines alone."""
-    rng, rows = random.Random(5), []
-    for d in range(60):
-        lines = [f"u{d}_{i}" for i in range(24)]
-        for _ in range(3):  # runs of 1 to 3 lines that other documents hold too, among lines of its own
-            at, start, n = rng.randrange(20), rng.randrange(12), rng.randrange(1, 4)
-            lines[at : at + n] = [f"s{i}" + "long" * 60 * (i % 5 == 0) for i in range(start, start + n)]
-        rows.append((d, "\n".join(lines)))
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    for long_line in (None, line_dedup.LONG_LINE):
-        out = line_dedup.dedup(spark, docs, long_line=long_line).collect()
-        places = [(d, i, x) for d, t in rows for i, x in enumerate(t.split("\n"))]
-        gone = set()
-        for b, (d, i, x) in enumerate(places):
-            for e, j, y in places[:b]:
-                if x != y:
-                    continue
-                if long_line and len(x) >= long_line:
-                    gone.add((d, i))
-                own, other = rows[d][1].split("\n")[i + 1 :], rows[e][1].split("\n")[j + 1 :]
-                if own and other and own[0] == other[0]:
-                    gone |= {(d, i), (d, i + 1)}
-        want = [(d, "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in gone)) for d, t in rows]
-        same([(r["doc_id"], r["text"]) for r in out], want)
+def test_line_dedup_keeps_columns_of_any_name(spark):
+    names = "own_key run_doc run_key deleted print at run start end first last runs row_key n_lines n_removed w lines".split()
+    rows = [(1, "a b c d e f g h", *names), (2, "a b c d e f g h\nz", *names)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    out = line_dedup.dedup(spark, docs).orderBy("doc_id").collect()
+    assert [(r["text"], r["n_lines"], r["n_removed"]) for r in out] == [("a b c d e f g h", 1, 0), ("z", 2, 1)]
+    assert all(r[n] == n for r in out for n in names if n not in ("n_lines", "n_removed"))
 
 
 def test_packing(spark, corpus):
@@ -230,6 +254,41 @@ def test_packing_is_close_to_the_least_number_of_sequences(spark, sf_dir):
     assert row["s"] <= 1.05 * row["n"] / 2048 + 1
 
 
+def test_packing_keeps_the_ids_of_special_tokens(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path, ranks = (public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> é", "<|endoftex|>", "plain"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    exact = Tokenizer.from_file(path)
+    assert 50256 in exact.encode(texts[0], add_special_tokens=False).ids
+    want = [(d, *p) for d, t in enumerate(texts) for p in brute.pieces(lambda s: exact.encode(s, add_special_tokens=False).ids, t)]
+    for fast in (ranks, None):
+        out = packing.pack(spark, docs, path, fast).collect()
+        same([(r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in out], want)
+
+
+@pytest.mark.parametrize("layout", ["random", "sorted"])
+def test_sequences_are_few_however_the_table_is_laid_out(spark, layout):
+    """Pieces of 50 to 2000 tokens in 20 deals: long ones must meet the short ones that fill their gaps."""
+    import public_tokenizers
+
+    rng = random.Random(3)
+    sizes = [rng.choice([rng.randrange(50, 300), rng.randrange(900, 2000)]) for _ in range(8000)]
+    if layout == "sorted":
+        sizes.sort()
+    rows = [(d, " the" * (n - 1)) for d, n in enumerate(sizes)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(8)
+    out = packing.pack(
+        spark, docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        group_rows=400,
+    )
+    row = out.agg(F.sum("length").alias("n"), F.count_distinct("sequence_id").alias("s")).first()
+    assert row["n"] == sum(sizes)
+    assert row["s"] <= 1.01 * -(-row["n"] // 2048)
+
+
 def test_licences(spark, corpus):
     docs, rows = corpus
     out = licences.scan(docs, licences.known_licences(spark))

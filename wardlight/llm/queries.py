@@ -114,7 +114,7 @@ def _classified(scores: DataFrame, held_out: F.Column) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = line_dedup.dedup(spark, documents, long_line=line_dedup.LONG_LINE)
+    out = line_dedup.dedup(spark, documents)
     return out.select("doc_id", "n_lines", "n_removed", "text")
 
 
@@ -162,6 +162,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op10_line_dedup": sql.LINE_DEDUP,
     "op12_lexical_search": sql.LEXICAL_SEARCH,
     "op13_merkle_manifest": sql.MERKLE_MANIFEST,
 }

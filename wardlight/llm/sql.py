@@ -39,6 +39,54 @@ ranked AS (
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
 """
 
+# The shortest runs of 8 words from every line on and up to every line; a later equal run is deleted.
+LINE_DEDUP = r"""
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS idx
+    FROM documents WHERE text IS NOT NULL
+),
+counted AS (
+    SELECT *, len(regexp_extract_all(line, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS n FROM lines
+),
+worded AS (
+    SELECT doc_id, idx, line, greatest(n, length(line) // 10) AS words,
+        row_number() OVER (PARTITION BY doc_id ORDER BY idx) AS i,
+        sum(greatest(n, length(line) // 10)) OVER (PARTITION BY doc_id ORDER BY idx) AS upto
+    FROM counted WHERE n > 0
+),
+bounds AS (
+    SELECT a.doc_id, a.i AS first, min(b.i) AS last
+    FROM worded a JOIN worded b ON a.doc_id = b.doc_id AND b.i BETWEEN a.i AND a.i + 7 AND b.upto - a.upto + a.words >= 8
+    GROUP BY ALL
+    UNION
+    SELECT b.doc_id, max(a.i), b.i
+    FROM worded a JOIN worded b ON a.doc_id = b.doc_id AND a.i BETWEEN b.i - 7 AND b.i AND b.upto - a.upto + a.words >= 8
+    GROUP BY b.doc_id, b.i
+),
+texts AS (SELECT doc_id, list(line ORDER BY i) AS lines, list(idx ORDER BY i) AS places FROM worded GROUP BY doc_id),
+runs AS (
+    SELECT doc_id, places[first] AS start, places[last] AS stop, lines[first:last] AS run FROM bounds JOIN texts USING (doc_id)
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, start) AS r FROM runs),
+places AS (SELECT DISTINCT doc_id, unnest(range(start, stop + 1)) AS idx FROM ranked WHERE r > 1),
+marked AS (
+    SELECT c.*, CASE WHEN n > 0 THEN p.idx IS NOT NULL END AS hit FROM counted c LEFT JOIN places p USING (doc_id, idx)
+),
+judged AS (
+    SELECT *, coalesce(hit, last_value(hit IGNORE NULLS) OVER before AND first_value(hit IGNORE NULLS) OVER after, false) AS gone
+    FROM marked
+    WINDOW before AS (PARTITION BY doc_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+        after AS (PARTITION BY doc_id ORDER BY idx ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+),
+kept AS (
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+        coalesce(string_agg(line, chr(10) ORDER BY idx) FILTER (NOT gone), '') AS text
+    FROM judged GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, kept.text
+FROM documents d LEFT JOIN kept USING (doc_id)
+"""
+
 # The digest of each run is made level by level; proofs gather the other node of the run at each level.
 MERKLE_MANIFEST = """
 WITH RECURSIVE fields AS (

@@ -15,6 +15,18 @@ def written(spark: SparkSession, frame: DataFrame, purpose: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spare(frame: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores put before it until no column of ``frame`` is called that."""
+    taken = {name.lower() for name in frame.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus
