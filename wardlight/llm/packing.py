@@ -11,7 +11,6 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,18 +29,18 @@ PLAIN = r"[\x00-\x7F\u00A1-\u024F\u2010-\u2015\u2018-\u201F\u2026\u20AC]*"
 
 
 class Encoder:
-    """Ids of whole texts by a public byte-level BPE; special tokens' strings in a text are ordinary text.
+    """Ids of whole texts by a public byte-level BPE, as tokenizers gives them without adding special tokens.
 
     ``path`` is the vocabulary for tokenizers, which defines the ids. ``ranks`` is the same vocabulary as ranks, with
-    which tiktoken gives the same ids several times faster; without it, or for texts with characters that the two
-    libraries might class differently, tokenizers does the work.
+    which tiktoken gives the same ids several times faster; without it, for texts with characters that the two libraries
+    might class differently, or for texts that hold the string of a special token, tokenizers does the work.
     """
 
     def __init__(self, path: str, ranks: str | None = None):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.plain = re.compile(PLAIN).fullmatch
         self.fast = None
         if ranks:
@@ -53,7 +52,7 @@ class Encoder:
 
     def __call__(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit values."""
-        if self.fast and (text.isascii() or self.plain(text)):
+        if self.fast and (text.isascii() or self.plain(text)) and not any(token in text for token in self.special):
             return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -92,16 +91,17 @@ def encoder(path: str, ranks: str | None) -> Encoder:
     return Encoder(path, ranks)
 
 
-PIECE_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long, bin_id long, offset long, fill long"
+PIECE_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PLACED_DDL = f"{PIECE_DDL}, bin_id long, offset long, fill long"
 
 
-def _local(path: str, ranks: str | None, capacity: int):
-    """Tokens, pieces and local bins of one partition."""
+def _pieces(path: str, ranks: str | None, capacity: int):
+    """The pieces of every document of a partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, ranks)
-        doc, piece, start, length, crc = [], [], [], [], []
         for batch in batches:
+            doc, piece, start, length, crc = [], [], [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = encode(text.as_py() or "") + b"\0\0\0\0"
                 total = len(ids) // 4
@@ -113,23 +113,29 @@ def _local(path: str, ranks: str | None, capacity: int):
                     start.append(a)
                     length.append(z - a)
                     crc.append(zlib.crc32(ids[4 * a : 4 * z]))
-        if not doc:
-            return
-        bins, offsets, fills = best_fit(np.array(length, np.int64), capacity)
-        base = TaskContext.get().partitionId() << 33
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(doc, pa.int64()),
-                pa.array(piece, pa.int32()),
-                pa.array(start, pa.int64()),
-                pa.array(length, pa.int64()),
-                pa.array(crc, pa.int64()),
-                pa.array(bins + base),
-                pa.array(offsets),
-                pa.array(fills[bins]),
-            ],
-            names=["doc_id", "piece", "start", "length", "ids_crc32", "bin_id", "offset", "fill"],
-        )
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(doc, pa.int64()),
+                    pa.array(piece, pa.int32()),
+                    pa.array(start, pa.int64()),
+                    pa.array(length, pa.int64()),
+                    pa.array(crc, pa.int64()),
+                ],
+                names=["doc_id", "piece", "start", "length", "ids_crc32"],
+            )
+
+    return run
+
+
+def _packed(capacity: int):
+    """The local bins of the pieces dealt to one task; a bin's number begins with that of the deal."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        bins, offsets, fills = best_fit(np.asarray(table["length"], np.int64), capacity)
+        out = table.select(["doc_id", "piece", "start", "length", "ids_crc32"])
+        for name, values in (("bin_id", bins + (key[0].as_py() << 33)), ("offset", offsets), ("fill", fills[bins])):
+            out = out.append_column(name, pa.array(values))
+        return out
 
     return run
 
@@ -159,10 +165,12 @@ def pack(
 ) -> DataFrame:
     """All documents in sequences of at most ``capacity`` tokens: one row per piece, with its sequence and offset.
 
-    Vocabulary paths must exist on every executor, see ``Encoder``. A document is the ids of its text and id 0; a null or empty text is id 0 alone. Only a longer document is cut, into
-    pieces of ``capacity``; its first piece takes what is left over. Every partition packs its pieces best fit, the
-    largest first. Bins with at most ``slack`` free places are done. The others are items of the next round, where one
-    task merges the bins of several partitions best fit again, and so on up the tree.
+    Vocabulary paths must exist on every executor, see ``Encoder``. A document is the ids of its text and id 0; a null or
+    empty text is id 0 alone. Only a longer document is cut, into pieces of ``capacity``; its first piece takes what is
+    left over. The pieces are dealt to partitions of about ``group_rows`` by a hash of their number, so that each has
+    long and short ones however the table is laid out, and every partition packs its pieces best fit, the largest first.
+    Bins with at most ``slack`` free places are done. The others are items of the next round, where one task merges the
+    bins of several partitions best fit again, and so on up the tree.
 
     A bin that a round of merging leaves as it was is done too, so every round at least halves the items. The fan-in
     follows the number of items, two partitions at least, so the halving keeps every task near ``group_rows`` items
@@ -172,8 +180,12 @@ def pack(
     text are read.
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    cut = rows.mapInArrow(_pieces(tokenizer_path, ranks_path, capacity), PIECE_DDL)
+    cut = written(spark, cut.withColumn("number", F.monotonically_increasing_id()), "cut-pieces")
+    deals = max(1, -(-cut.count() // group_rows))
+    dealt = cut.withColumn("deal", F.pmod(F.xxhash64("number"), F.lit(deals)))
     # later rounds refer to bins by name, so the local bins are written once and never computed again
-    pieces = written(spark, rows.mapInArrow(_local(tokenizer_path, ranks_path, capacity), PIECE_DDL), "pieces")
+    pieces = written(spark, dealt.groupBy("deal").applyInArrow(_packed(capacity), PLACED_DDL), "pieces")
     open_bins = pieces.where((F.col("offset") == 0) & (F.col("fill") < capacity - slack)).select(
         "bin_id", "fill", F.shiftright("bin_id", 33).alias("leaf")
     )
