@@ -83,7 +83,7 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.link_components(spark, _table(spark, sf_dir, "documents"))
+    return jaccard.link_components(spark, _table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
