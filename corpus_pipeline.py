@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlight.llm import decontaminate, jaccard, line_dedup, packing, toxicity
-from wardlight.llm.tables import remainder, written
+from wardlight.llm.tables import remainder, spare, written
 
 #: documents from this score on are rejected as toxic
 REJECT_SCORE = 0.5
@@ -27,20 +27,28 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of similar documents; others stay."""
+    """One document of each group of similar ones, the first by doc_id and text hash; documents like no other stay.
+
+    Rows of one id but different texts are different documents; rows alike in both are one document and share its fate.
+    A null id counts as the last. Texts without words are like no other. Other columns, whatever their names, stay.
+    """
     groups = jaccard.link_components(spark, docs)
-    # an id that is not its group's smallest goes; ids without a group, or null, stay
-    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone.hint("merge"), F.col("doc_id") == F.col("gone"), "left_anti")
+    return _without(docs, groups.where(~F.col("is_first")).select("doc_id", "row_key"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item."""
+    """Documents that hold no window of a benchmark item. Other columns, whatever their names, stay."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontaminate.contamination(spark, docs, benchmark).where("n_hit > 0")
-    found = found.select(F.col("doc_id").alias("f_doc"), F.col("row_key").alias("f_key")).distinct()
-    same = (F.xxhash64("doc_id", "text") == F.col("f_key")) & F.col("doc_id").eqNullSafe(F.col("f_doc"))
-    return docs.join(found.hint("merge"), same, "left_anti")
+    return _without(docs, found.select("doc_id", "row_key"))
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows named by (doc_id, row_key)."""
+    names = spare(docs, "gone_doc", "gone_key")
+    doc, key = (F.col(name) for name in names)
+    same = (F.xxhash64("doc_id", "text") == key) & F.col("doc_id").eqNullSafe(doc)
+    return docs.join(gone.distinct().toDF(*names).hint("merge"), same, "left_anti")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +66,7 @@ STAGES = [
     ("best_fit_packing", pack_sequences),
 ]
 
-#: Learned scores, tokens and packing are beyond SQL; tests compare the stages with brute force.
+#: Learned scores and tokens are beyond SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
