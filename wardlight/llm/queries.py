@@ -162,6 +162,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_substring_dedup": sql.SUBSTRING_DEDUP,
+    "op4_decontamination": sql.DECONTAMINATION,
+    "op7_top_k": sql.TOP_K,
     "op10_line_dedup": sql.LINE_DEDUP,
     "op12_lexical_search": sql.LEXICAL_SEARCH,
     "op13_merkle_manifest": sql.MERKLE_MANIFEST,

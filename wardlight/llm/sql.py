@@ -164,3 +164,83 @@ CROSS JOIN root r
 LEFT JOIN proofs x ON x.lang IS NOT DISTINCT FROM p.lang AND x.leaf_pos = p.pos
 LEFT JOIN (SELECT * FROM folded_top WHERE total = 1) t ON t.lang IS NOT DISTINCT FROM p.lang AND t.leaf_pos = p.pos
 """
+
+SUBSTRING_DEDUP = r"""
+WITH words AS (
+    SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+),
+each_word AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM words),
+windows AS (
+    SELECT * FROM (
+        SELECT doc_id, i, count(*) OVER following AS n, string_agg(word, ' ') OVER following AS words13
+        FROM each_word
+        WINDOW following AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING))
+    WHERE n = 13
+),
+firsts AS (SELECT words13, min(doc_id) AS first_doc FROM windows GROUP BY words13),
+gone AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM windows JOIN firsts USING (words13) WHERE first_doc < doc_id
+),
+kept AS (
+    SELECT doc_id, count(gone.i) AS n_removed,
+        string_agg(word, ' ' ORDER BY each_word.i) FILTER (gone.i IS NULL) AS text
+    FROM each_word LEFT JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+    sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
+DECONTAMINATION = r"""
+WITH words AS (
+    SELECT doc_id, coalesce(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+    FROM documents
+),
+item_words AS (
+    SELECT item_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+),
+windows AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS size, w[i:i + least(len(w), 10) - 1] AS run
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item_words WHERE len(w) > 0)
+),
+each_word AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM words),
+places AS (
+    SELECT doc_id, i, list(word) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS run
+    FROM each_word
+),
+found AS (
+    SELECT DISTINCT doc_id, i, size, item_id
+    FROM (SELECT doc_id, i, size, run[:size] AS run FROM places JOIN (SELECT DISTINCT size FROM windows) ON len(run) >= size)
+    JOIN windows USING (size, run)
+),
+hits AS (
+    SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM found) GROUP BY doc_id
+),
+items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+TOP_K = """
+WITH ready AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scores AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM ready q JOIN ready c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
