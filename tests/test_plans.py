@@ -16,7 +16,8 @@ WRITES = {"sink_full_refresh", "pipeline_from_raw", "alert_cycle", "retention_cl
           "stored_hourly_event_rate", "stored_severity_trend", "stored_bed_availability", "stored_vaccination_trend",
           "stored_outbreak_predictions", "stored_data_quality_checks", "pipeline_refresh", "pipeline_refresh_state",
           "predictions_refresh", "dq_history_append", "dq_table_state", *(f"incremental_{t}" for t in refresh.ANALYTICS),
-          "ingest_stream", "publish_valid", "publish_routed", "alert_cooldown_stream", "alert_cooldown_stream_status"}
+          "ingest_stream", "publish_valid", "publish_routed", "alert_cooldown_stream", "alert_cooldown_stream_status",
+          "ingest_stream_summary", "route_stream_summary"}
 
 
 def plan_of(df) -> str:

@@ -279,13 +279,19 @@ def test_unreadable_optional_source_is_not_an_empty_one(spark, tmp_path):
 def test_ingestion_continues_where_it_stopped(spark, sf_dir, tmp_path):
     raw = derived.raw_messages(spark, sf_dir)
     source, out, checkpoint = (str(tmp_path / name) for name in ("raw", "events", "checkpoint"))
-    stored = []
+    stored, counts = [], []
     for part in range(2):
         raw.where(F.col("offset") % 2 == part).coalesce(3).write.mode("append").parquet(source)
         stream = events.stream_messages(spark, "parquet", source, "offset bigint, value string", batch_cap=2)
-        ingest.ingest(stream, out, checkpoint).awaitTermination()
+        run = ingest.ingest(stream, out, checkpoint)
+        run.awaitTermination()
         stored.append(spark.read.parquet(out).count())
+        # counted by the write itself, batch by batch
+        counts.append(ingest.run_summary(run, "validation"))
     assert stored == [raw.where("offset % 2 = 0").count(), raw.count()]
+    for part in range(2):
+        judged = validate.validate_events(raw.where(F.col("offset") % 2 == part))
+        assert counts[part] == validate.validation_summary(judged).first().asDict()
     batch = validate.validate_events(raw).groupBy("reason").count().collect()
     streamed = spark.read.parquet(out).groupBy("reason").count().collect()
     assert {tuple(row) for row in streamed} == {tuple(row) for row in batch}

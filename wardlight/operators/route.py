@@ -87,9 +87,14 @@ def unroutable_events(targeted: DataFrame) -> DataFrame:
     return targeted.where(F.col("topic").isNull())
 
 
-def routing_summary(targeted: DataFrame) -> DataFrame:
-    return targeted.agg(
+def summary_columns() -> list[Column]:
+    """Messages processed, routed and dropped, as aggregates over messages with their target."""
+    return [
         F.count("*").alias("processed"),
         F.count("topic").alias("routed"),
         F.count_if(F.col("topic").isNull()).alias("dropped"),
-    )
+    ]
+
+
+def routing_summary(targeted: DataFrame) -> DataFrame:
+    return targeted.agg(*summary_columns())

@@ -151,10 +151,15 @@ def valid_messages(messages: DataFrame) -> DataFrame:
     return parse(messages).where(verdict() == VALID).select(*columns)
 
 
-def validation_summary(judged: DataFrame) -> DataFrame:
+def summary_columns() -> list[Column]:
+    """Messages seen, valid and invalid, as aggregates over judged messages."""
     valid = F.col("reason") == VALID
-    return judged.agg(
+    return [
         F.count("*").alias("total_seen"),
         F.count_if(valid).alias("valid"),
         F.count_if(~valid).alias("invalid"),
-    )
+    ]
+
+
+def validation_summary(judged: DataFrame) -> DataFrame:
+    return judged.agg(*summary_columns())

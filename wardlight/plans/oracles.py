@@ -671,6 +671,12 @@ _STATEMENTS = {
                     WHEN 'hospital_admission' THEN 'hospital_admissions' ELSE 'vaccination_records' END AS topic,
                count(*) AS messages
         FROM valid WHERE event_type IN {ROUTABLE} GROUP BY 1""",
+    "ingest_stream_summary": """
+        SELECT (SELECT count(*) FROM raw_all) AS total_seen, (SELECT count(*) FROM valid) AS valid,
+               (SELECT count(*) FROM raw_all) - (SELECT count(*) FROM valid) AS invalid""",
+    "route_stream_summary": f"""
+        SELECT count(*) AS processed, count(*) FILTER (event_type IN {ROUTABLE}) AS routed,
+               count(*) FILTER (event_type NOT IN {ROUTABLE}) AS dropped FROM valid""",
     "stream_hourly_rate": _open_hours("hourly_event_rate", "hour", "hour, event_type, region, event_count"),
     "stream_severity_trend": _open_hours("severity_trend", "window_start"),
     "stream_bed_availability": _open_hours("bed_availability", "hour"),

@@ -822,6 +822,31 @@ def publish_routed(spark, sf_dir):
     return spark.read.parquet(f"{root}/streams").groupBy("topic").agg(F.count("*").alias("messages"))
 
 
+def _summary_frame(spark, counts: dict[str, int]) -> DataFrame:
+    return spark.range(1).select(*[F.lit(value).cast("long").alias(name) for name, value in counts.items()])
+
+
+@query
+def ingest_stream_summary(spark, sf_dir):
+    """What the streaming ingestion counted while it stored the messages."""
+    root = work_dir(spark, "ingest")
+    run = ingest.ingest(_raw_stream(spark, sf_dir), f"{root}/events", f"{root}/checkpoint")
+    run.awaitTermination()
+    return _summary_frame(spark, ingest.run_summary(run, "validation"))
+
+
+@query
+def route_stream_summary(spark, sf_dir):
+    """What the streaming fan-out counted while it wrote the messages."""
+    root = work_dir(spark, "route")
+    valid = validate.valid_messages(_raw_stream(spark, sf_dir))
+    run = ingest.publish_routed(
+        valid, f"{root}/checkpoint", "parquet", f"{root}/streams", team_id=TEAM, as_of=AS_OF
+    )
+    run.awaitTermination()
+    return _summary_frame(spark, ingest.run_summary(run, "routing"))
+
+
 def _streamed(spark, result: DataFrame, name: str) -> DataFrame:
     root = work_dir(spark, name)
     ingest.append_to_files(result, f"{root}/result", f"{root}/checkpoint").awaitTermination()
