@@ -34,10 +34,6 @@ def database(spark, tmp_path):
     spark.sql(f"DROP DATABASE {name} CASCADE")
 
 
-def folders(tmp_path, table):
-    return sorted(path.name for path in (tmp_path / "tables" / table).iterdir() if "=" in path.name)
-
-
 def test_refresh_replaces_and_reader_prunes_dates(spark, database):
     assert store.read_table(spark, database, "hourly_event_rate") is None
     store.refresh_table(spark, database, "hourly_event_rate", rate(spark, (NOW - timedelta(days=3), "t", "old", 1)))
@@ -81,32 +77,43 @@ def test_failed_refresh_leaves_other_dates_and_tables(spark, database):
 
 def test_missing_values_of_required_columns_are_refused(spark, database):
     rows = spark.createDataFrame([(NOW, "t", None, 1)], "hour timestamp, event_type string, region string, event_count long")
-    for write in (store.refresh_table, store.refresh_dates, store.append_rows):
+    for write in (store.refresh_table, store.refresh_dates):
         with pytest.raises(Exception, match="hourly_event_rate.region must not be NULL"):
             write(spark, database, "hourly_event_rate", rows)
     assert store.read_table(spark, database, "hourly_event_rate").isEmpty()
 
 
+def check(spark, name, day=NOW):
+    row = (day, name, "t", "PASS", 1, day, "m")
+    return spark.createDataFrame([row], schemas.RESULT_SCHEMAS["data_quality_checks"])
+
+
+def names(df):
+    return sorted(row.check_name for row in df.collect())
+
+
 def test_append_keeps_earlier_rows(spark, database):
-    for region in ("a", "b"):
-        store.append_rows(spark, database, "hourly_event_rate", rate(spark, (NOW, "t", region, 1)))
-    assert regions(store.read_table(spark, database, "hourly_event_rate")) == ["a", "b"]
+    assert [store.append_rows(spark, database, "data_quality_checks", check(spark, name)) for name in ("a", "b")] == [1, 1]
+    stored = store.read_table(spark, database, "data_quality_checks")
+    assert names(stored) == ["a", "b"] and stored.columns == schemas.RESULT_SCHEMAS["data_quality_checks"].fieldNames()
+    with pytest.raises(ValueError, match="no partition for an append"):
+        store.append_rows(spark, database, "hourly_event_rate", rate(spark, (NOW, "t", "a", 1)))
 
 
 def test_parallel_appends_lose_nothing(spark, database):
     from concurrent.futures import ThreadPoolExecutor
 
-    store.create_table(spark, database, "hourly_event_rate")
+    store.create_table(spark, database, "data_quality_checks")
     with ThreadPoolExecutor(4) as pool:
-        list(
-            pool.map(
-                lambda i: store.append_rows(
-                    spark, database, "hourly_event_rate", rate(spark, (NOW - timedelta(days=i), "t", f"r{i}", 1))
-                ),
-                range(4),
-            )
-        )
-    assert regions(store.read_table(spark, database, "hourly_event_rate")) == ["r0", "r1", "r2", "r3"]
+        list(pool.map(lambda i: store.append_rows(spark, database, "data_quality_checks", check(spark, f"r{i}")), range(4)))
+    assert names(store.read_table(spark, database, "data_quality_checks")) == ["r0", "r1", "r2", "r3"]
+
+
+def test_writes_count_their_rows(spark, database):
+    rows = rate(spark, *[(NOW - timedelta(days=n % 3), "t", f"r{n}", 1) for n in range(10)])
+    assert store.refresh_table(spark, database, "hourly_event_rate", rows) == 10
+    assert store.refresh_dates(spark, database, "hourly_event_rate", rows.where("region = 'r1'")) == 1
+    assert store.refresh_dates(spark, database, "hourly_event_rate", rows.limit(0)) == 0
 
 
 def test_pipeline_on_stored_tables(spark, sf_dir, database):
@@ -335,10 +342,12 @@ def test_clean_up_drops_whole_dates_of_all_tables(spark, database, tmp_path):
     )
     for batch in ("x", "y"):
         store.refresh_dates(spark, database, "event_rollup", rollup, batch)
-    assert len(folders(tmp_path, "hourly_event_rate")) == 3
     assert set(store.clean_up(spark, database, NOW)) == {"hourly_event_rate", "event_rollup"}
-    assert folders(tmp_path, "hourly_event_rate") == ["event_date=2026-04-21", "event_date=2026-04-28"]
-    assert folders(tmp_path, "event_rollup") == ["event_date=2026-04-21", "event_date=2026-04-28"]
+    for table in ("hourly_event_rate", "event_rollup"):
+        files = (tmp_path / "tables" / table).rglob("*.parquet")
+        assert {part for path in files for part in path.parts if part.startswith("event_date=")} == {
+            "event_date=2026-04-21", "event_date=2026-04-28"
+        }
     assert regions(store.read_table(spark, database, "hourly_event_rate")) == ["b", "c"]
     assert store.with_partitions(spark, database, "event_rollup").count() == 4
     assert store.clean_up(spark, database, NOW) == []

@@ -8,6 +8,7 @@ Commits, snapshots and readers during a refresh are the catalog's and table form
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
@@ -29,6 +30,9 @@ DROPPED_AT_ONCE = 500
 PARTITIONS = {
     "event_rollup": [PARTITION, BATCH],
     "late_events": [PARTITION, BATCH],
+    "stream_progress": [PARTITION, BATCH],
+    "data_quality_checks": [PARTITION, BATCH],
+    "alert_log": [PARTITION, BATCH],
     "stored_events": [PARTITION, "event_type"],
 }
 
@@ -86,7 +90,7 @@ def conform(df: DataFrame, table: str) -> DataFrame:
 
 
 def _write(
-    spark: SparkSession, database: str, table: str, df: DataFrame, overwrite: bool, batch: str | None = None
+    spark: SparkSession, database: str, table: str, df: DataFrame, batch: str | None = None
 ) -> Row:
     """``rows`` and ``keys`` of what was written: how many rows and which partitions, counted by the write itself.
 
@@ -105,7 +109,7 @@ def _write(
         F.count("*").alias("rows"),
         F.collect_set(F.concat_ws("/", *[F.coalesce(F.col(k).cast("string"), F.lit(NULL_PARTITION)) for k in keys])).alias("keys"),
     )
-    counted.write.insertInto(name, overwrite=overwrite)
+    counted.write.insertInto(name, overwrite=True)
     return Row(rows=observed.get["rows"], keys=observed.get["keys"])
 
 
@@ -115,7 +119,7 @@ def refresh_table(spark: SparkSession, database: str, table: str, df: DataFrame,
     The new partitions replace the old ones as one commit, then those that have no row any more are dropped. A refresh
     that fails before its commit changes nothing; one that fails after it can be repeated.
     """
-    written = _write(spark, database, table, df, True, batch)
+    written = _write(spark, database, table, df, batch)
     kept = set(written.keys)
     drop_partitions(spark, database, table, lambda values: "/".join(values.values()) not in kept)
     return written.rows
@@ -123,12 +127,17 @@ def refresh_table(spark: SparkSession, database: str, table: str, df: DataFrame,
 
 def refresh_dates(spark: SparkSession, database: str, table: str, df: DataFrame, batch: str | None = None) -> int:
     """Replace the partitions that ``df`` has rows for, as one commit, and leave all others; the number of its rows."""
-    return _write(spark, database, table, df, True, batch).rows
+    return _write(spark, database, table, df, batch).rows
 
 
 def append_rows(spark: SparkSession, database: str, table: str, df: DataFrame) -> int:
-    """Add rows to a table such as the history of quality checks; how many they are."""
-    return _write(spark, database, table, df, False).rows
+    """Add rows to a table such as the history of quality checks; how many they are.
+
+    Tables that are appended to have a partition for each append, so that several at a time do not meet in one folder.
+    """
+    if BATCH not in partitions(table):
+        raise ValueError(f"{table} has no partition for an append; refresh it, or its dates")
+    return _write(spark, database, table, df, f"run-{uuid.uuid4().hex}").rows
 
 
 def drop_partitions(

@@ -63,7 +63,7 @@ def merge_batch(
         F.count_if(late).alias("late_count"),
         limit.alias("watermark"),
     ).where(F.col("row_count") > 0)
-    store.append_rows(spark, database, PROGRESS, seen)
+    store.refresh_dates(spark, database, PROGRESS, seen, f"{stream}-{number}")
 
 
 def refresh_stream(
