@@ -82,14 +82,14 @@ def same(spark, docs, height):
     assert sorted(got, key=repr) == sorted(brute(rows, crc_tampered), key=repr)
 
 
-@pytest.mark.parametrize("height", [1, 3, 12])
+@pytest.mark.parametrize("height", [3, 12])
 def test_tables(spark, sf_dir, height):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     same(spark, docs, height)
 
 
-@pytest.mark.parametrize("height", [2, 12])
-def test_edge_rows(spark, edge_docs, crowded, no_docs, height):
+def test_edge_rows(spark, edge_docs, crowded, no_docs):
+    height = 2
     same(spark, edge_docs, height)
     langs = F.when(F.col("doc_id") % 3 == 0, None).when(F.col("doc_id") % 3 == 1, "").otherwise(F.col("text"))
     same(spark, edge_docs.withColumn("lang", langs), height)
@@ -104,7 +104,7 @@ def test_clashing_names(spark, edge_docs):
     same(spark, edge_docs.selectExpr("*", *[f"'x' AS {n}" for n in names]), 2)
 
 
-@pytest.mark.parametrize("total", [1, 2, 3, 5, 8, 9, 17, 33])
+@pytest.mark.parametrize("total", [1, 2, 5, 17])
 def test_one_language_of_any_size(spark, total):
     docs = spark.range(total).selectExpr("id AS doc_id", "'s' AS source", "'x' AS lang", "1L AS n_chars", "'t' AS text")
     same(spark, docs, 2)
