@@ -15,21 +15,42 @@ WORD_CHARS = 10
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
-def _lines(text: Column) -> Column:
-    """(at, hash, words) of the lines that have words; ``at`` is the place among all lines."""
+def _lines(text: Column, run_words: int) -> Column:
+    """(at, hash, words) of the lines that have words; ``at`` is the place among all lines.
+
+    Words count up to ``run_words``, so those of a line that is long enough need not be told apart.
+    """
+    most = F.lit(run_words)
 
     def entry(line: Column, at: Column) -> Column:
-        words = F.regexp_count(line, F.lit(WORD)).cast("int")
-        long = F.floor(F.length(line) / WORD_CHARS).cast("int")
+        tenth = F.floor(F.length(line) / WORD_CHARS).cast("int")
+        count = F.regexp_count(line, F.lit(WORD)).cast("int")
+        words = (
+            F.when(F.length(line) >= WORD_CHARS * run_words, F.when(line.rlike(WORD), most).otherwise(0))
+            .when(count == 0, 0)
+            .otherwise(F.least(F.greatest(count, tenth), most))
+        )
         return F.struct(
-            at.cast("int").alias("at"),
-            F.md5(line.cast("binary")).alias("hash"),
-            F.when(words == 0, 0).otherwise(F.greatest(words, long)).alias("words"),
+            at.cast("int").alias("at"), F.md5(line.cast("binary")).alias("hash"), words.alias("words")
         )
 
     return F.filter(F.transform(F.split(text, "\n"), entry), lambda line: line["words"] > 0)
 
 
+def _line(lines: Column, i: Column) -> Column:
+    """The window of one line that has the words alone."""
+    own = F.get(lines, i)
+    return F.struct(
+        F.unhex(own["hash"]).alias("print"),
+        own["at"].alias("at"),
+        F.unhex(own["hash"]).alias("run"),
+        own["at"].alias("start"),
+        own["at"].alias("end"),
+        F.coalesce(F.get(lines, i - 1)["at"], F.lit(-1)).alias("before"),
+        F.coalesce(F.get(lines, i + 1)["at"], F.lit(-1)).alias("after"),
+    )
+
+
 def _window(lines: Column, first: Column, count: Column) -> Column:
     """What is kept of a window: its fingerprint, the minimum of its lines, and its own hash and extent.
 
@@ -45,7 +66,7 @@ def _window(lines: Column, first: Column, count: Column) -> Column:
     return F.struct(
         F.unhex(least["h"]).alias("print"),
         least["at"].alias("at"),
-        F.unhex(F.when(count == 1, least["h"]).otherwise(whole)).alias("run"),
+        F.unhex(whole).alias("run"),
         F.get(lines, first)["at"].alias("start"),
         F.get(lines, first + count - 1)["at"].alias("end"),
         F.coalesce(F.get(lines, first - 1)["at"], F.lit(-1)).alias("before"),
@@ -79,11 +100,11 @@ def windows(text: Column, run_words: int) -> Column:
         forwards = F.transform(F.array(reach(onwards)), lambda n: F.when(n > 0, _window(lines, i, n)))
         backwards = F.transform(F.array(reach(upto)), lambda n: F.when(n > 0, _window(lines, i - n + 1, n)))
         alone = F.get(lines, i)["words"] >= run_words
-        return F.when(alone, F.array(_window(lines, i, F.lit(1)))).otherwise(F.concat(forwards, backwards))
+        return F.when(alone, F.array(_line(lines, i))).otherwise(F.concat(forwards, backwards))
 
     # the lines are hashed once, as the argument of the outer transform
     found = F.transform(
-        F.array(_lines(text)),
+        F.array(_lines(text, run_words)),
         lambda lines: F.when(
             F.size(lines) > 0,
             F.flatten(F.transform(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: around(lines, i))),
