@@ -157,6 +157,14 @@ def test_top_k_edges(spark):
     assert topk.top_k(vectors.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_top_k_of_many_equal_rows(spark):
+    """Repeated candidates rank as often as they occur, and lie in blocks of bounded size."""
+    rows = [(1, [2.0])] * 90 + [(2, [1.0])] * 5 + [(20, [1.0]), (3, [3.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(7)
+    got = [tuple(r) for r in topk.top_k(vectors, F.col("vec_id") % 20 == 0, block_rows=4).orderBy("rank").collect()]
+    assert got == [(20, 1, 3, 3 * 64 * 64)] + [(20, r, 1, 2 * 64 * 64) for r in range(2, 21)]
+
+
 def test_line_dedup(spark, corpus):
     docs, rows = corpus
     keys = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("k"), "text").collect()

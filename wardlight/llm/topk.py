@@ -52,8 +52,8 @@ _BLOCK_DDL = "block long, dim int, ids binary, matrix binary"
 
 
 def blocks(vectors: DataFrame, count: int) -> DataFrame:
-    """Rows gathered into ``count`` blocks by a hash of the whole row, so equal rows spread only as one."""
-    dealt = vectors.select(F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(count)).alias("block"), "id", "v")
+    """Rows gathered into ``count`` blocks by a hash of their contents, so a repeated task deals them alike."""
+    dealt = vectors.select(F.pmod(F.xxhash64("id", "v"), F.lit(count)).alias("block"), "id", "v")
     return dealt.repartition("block").mapInArrow(lambda b: _pack(_regroup(b), _BLOCK), _BLOCK_DDL)
 
 
@@ -151,7 +151,10 @@ def top_k(
     asked = quantised(vectors.where(is_query), id_col, vector_col, scale).distinct()
     sizes = ready.agg(F.count("*").alias("n")).crossJoin(asked.agg(F.count("*").alias("q"))).first()
     n_blocks, q_blocks = (max(1, -(-sizes[c] // block_rows)) for c in ("n", "q"))
-    candidates = blocks(ready, n_blocks)
+    # of rows that are alike no answer has more than k, so a block holds no more of them
+    copies = ready.groupBy("id", "v").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("n"))
+    kept = copies.select("id", "v", F.explode(F.sequence(F.lit(1), F.col("n")))).drop("col")
+    candidates = blocks(kept, n_blocks)
     queries = (
         blocks(asked, q_blocks)
         .select(F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"), "dim")
