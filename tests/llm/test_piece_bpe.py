@@ -75,7 +75,7 @@ def test_caches_are_bounded(monkeypatch, library):
     model = piece_bpe.PieceModel(open(PATH, "rb").read())
     text = " ".join(f"word{i}x{i * 7}" for i in range(500))
     assert ids_of(model, text) == library.encode(text)
-    assert len(model._words) <= 7 and len(model._compatible) <= 11
+    assert len(model._words.new) <= 7 and len(model._words.old) <= 7 and sum(map(len, model._followers.values())) <= 11
 
 
 def _check(spark, docs, library):

@@ -9,6 +9,7 @@ for each character; from its end the tokens of the text are read backwards.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator, Sequence
 from functools import cache
 
@@ -20,9 +21,31 @@ from pyspark.sql import DataFrame
 
 SPACE = "▁"
 #: words kept with their ids by a worker, and the longest of them; others are encoded anew each time
-CACHED_WORDS, CACHED_CHARS = 200_000, 64
+CACHED_WORDS, CACHED_CHARS = 60_000, 64
 #: pairs of tokens whose compatibility a worker keeps
-CACHED_PAIRS = 1_000_000
+CACHED_PAIRS = 500_000
+#: rows that a worker encodes or decodes together
+ROWS = 1000
+
+
+class Recent:
+    """A bounded map: when it is full, what was used since it last was full stays within reach for as long again."""
+
+    def __init__(self, most: int):
+        self.most, self.new, self.old = most, {}, {}
+
+    def get(self, key: str) -> bytes | None:
+        found = self.new.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.put(key, found)
+        return found
+
+    def put(self, key: str, value: bytes) -> None:
+        if len(self.new) >= self.most:
+            self.old, self.new = self.new, {}
+        self.new[key] = value
 
 
 class PieceModel:
@@ -43,13 +66,20 @@ class PieceModel:
         if any(SPACE in piece.lstrip(SPACE) for piece in self.ids):
             raise ValueError("a piece may hold spaces at its beginning only")
         self.automaton = ahocorasick.Automaton()
+        #: by token: what is known of the tokens before it
+        self._followers: dict[str, dict[str, bool]] = {}
+        self._pairs = 0
         for piece in self.ids:
             # a piece that merges never make whole is never a token
             if self.merged(piece) == [piece]:
-                self.automaton.add_word(piece, piece)
+                self._followers[piece] = {}
+                self.automaton.add_word(piece, (piece, len(piece), self._followers[piece]))
         self.automaton.make_automaton()
-        self._compatible: dict[tuple[str, str], bool] = {}
-        self._words: dict[str, bytes] = {}
+        #: characters that stand next to each other in some piece
+        self.neighbours = {pair for piece in self.ids for pair in zip(piece, piece[1:])}
+        if any("\n" in pair for pair in self.neighbours):
+            raise ValueError("a piece may not reach over the end of a line")
+        self._words, self._parts = Recent(CACHED_WORDS), Recent(CACHED_WORDS)
         byte_values = {i: bytes([value]) for value, i in self.byte_ids.items()}
         texts = {i: piece.replace(SPACE, " ").encode() for piece, i in self.ids.items()}
         #: bytes that each id stands for; control ids stand for none
@@ -72,56 +102,84 @@ class PieceModel:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
     def compatible(self, first: str, second: str) -> bool:
-        key = (first, second)
-        known = self._compatible.get(key)
-        if known is None:
-            if len(self._compatible) >= CACHED_PAIRS:
-                self._compatible.clear()
-            known = self._compatible[key] = self.merged(first + second) == [first, second]
-        return known
+        """Whether merges leave two tokens that follow each other as they are; nothing stands before a text's first."""
+        known = self._followers[second]
+        fits = known.get(first)
+        if fits is None:
+            if self._pairs >= CACHED_PAIRS:
+                for each in self._followers.values():
+                    each.clear()
+                self._pairs = 0
+            fits = known[first] = not first or self.merged(first + second) == [first, second]
+            self._pairs += 1
+        return fits
 
     def tokens(self, text: str) -> list[str]:
         """The pieces of a text; a character without a piece is a token of its own."""
-        found: dict[int, list[str]] = {}
-        for end, piece in self.automaton.iter(text):
-            found.setdefault(end + 1, []).append(piece)
         #: by the length of a beginning of the text: the last token of its encoding
-        last = [""] * (len(text) + 1)
-        for at in range(1, len(text) + 1):
-            last[at] = text[at - 1]
-            for piece in found.get(at, ()):
-                before = last[at - len(piece)]
-                if not before or self.compatible(before, piece):
-                    last[at] = piece
-                    break
+        last = ["", *text]
+        settled = -1
+        for end, (piece, size, followers) in self.automaton.iter(text):  # by end: shorter beginnings are settled
+            if end != settled:
+                before = last[end + 1 - size]
+                fits = followers.get(before)
+                if fits is None:
+                    fits = self.compatible(before, piece)
+                if fits:
+                    last[end + 1] = piece
+                    settled = end
         out, at = [], len(text)
         while at:
-            out.append(last[at])
-            at -= len(last[at])
-        return out[::-1]
+            piece = last[at]
+            out.append(piece)
+            at -= len(piece)
+        out.reverse()
+        return out
+
+    def parts(self, word: str) -> list[str]:
+        """A word cut between characters that stand next to each other in no piece: no token reaches over such a cut."""
+        if word[1:].isalpha():
+            return [word]  # hardly ever cut, and right without
+        cuts = [i for i, pair in enumerate(zip(word, word[1:]), 1) if pair not in self.neighbours]
+        return [word[a:z] for a, z in zip([0, *cuts], [*cuts, len(word)])]
+
+    def _encoded(self, text: str) -> bytes:
+        pieces = self.tokens(text)
+        try:
+            ids = [self.ids[piece] for piece in pieces]
+        except KeyError:
+            ids = []
+            for piece in pieces:
+                own = self.ids.get(piece)
+                ids += [own] if own is not None else [self.byte_ids[b] for b in piece.encode()]
+        return struct.pack(f"<{len(ids)}i", *ids)
 
     def word_ids(self, word: str) -> bytes:
         """The ids of a word, its spaces in front, as 32-bit integers."""
-        known = self._words.get(word)
-        if known is not None:
-            return known
-        ids: list[int] = []
-        for piece in self.tokens(word.replace(" ", SPACE)):
-            own = self.ids.get(piece)
-            ids += [own] if own is not None else [self.byte_ids[b] for b in piece.encode()]
-        packed = np.array(ids, "<i4").tobytes()
-        if len(word) <= CACHED_CHARS:
-            if len(self._words) >= CACHED_WORDS:
-                self._words.clear()
-            self._words[word] = packed
-        return packed
+        found = self._words.get(word)
+        if found is None:
+            parts = self.parts(word.replace(" ", SPACE))
+            if len(parts) == 1:
+                found = self._encoded(parts[0])
+            else:
+                found = b"".join([self._parts.get(part) or self._part(part) for part in parts])
+            if len(word) <= CACHED_CHARS:
+                self._words.put(word, found)
+        return found
+
+    def _part(self, part: str) -> bytes:
+        found = self._encoded(part)
+        if len(part) <= CACHED_CHARS:
+            self._parts.put(part, found)
+        return found
 
     def encode(self, text: str) -> bytes:
-        """The ids of a text as 32-bit integers. No piece reaches over the beginning of a run of spaces."""
+        """The ids of a text as 32-bit integers. No piece reaches over the beginning of a run of spaces, nor a line."""
         if not text:
             return b""
-        words = re.findall(" +[^ ]*", " " + text.replace(SPACE, " "))
-        return b"".join(map(self.word_ids, words))
+        words = re.findall("\n| +[^ \n]*|[^ \n]+", " " + text.replace(SPACE, " "))
+        known = self._words.new.get
+        return b"".join([known(word) or self.word_ids(word) for word in words])
 
     def decode(self, ids: Sequence[int] | np.ndarray) -> str:
         out = self._decode(np.asarray(ids, np.int64), np.array([0, len(ids)]))
@@ -153,6 +211,12 @@ def _content(path: str) -> bytes:
         return file.read()
 
 
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first in range(0, batch.num_rows, ROWS):
+            yield batch.slice(first, ROWS)
+
+
 def _ddl(frame: DataFrame, names: Sequence[str]) -> str:
     return "".join(f"`{name}` {frame.schema[name].dataType.simpleString()}, " for name in names)
 
@@ -170,7 +234,7 @@ def encode(documents: DataFrame, model_path: str, keep: Sequence[str] = ("doc_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(content)
-        for batch in batches:
+        for batch in _small(batches):
             packed = [model.encode(value.as_py() or "") for value in batch.column(len(names))]
             sizes = np.fromiter((len(p) // 4 for p in packed), np.int64, len(packed))
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
@@ -192,8 +256,10 @@ def decode(encoded: DataFrame, model_path: str, keep: Sequence[str] = ("doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(content)
-        for batch in batches:
-            ids = batch.column(len(names)).fill_null([]) if batch.column(len(names)).null_count else batch.column(len(names))
+        for batch in _small(batches):
+            ids = batch.column(len(names))
+            if ids.null_count:
+                ids = ids.fill_null([])
             offsets = ids.offsets.to_numpy().astype(np.int64)
             values = ids.values.to_numpy()[offsets[0] : offsets[-1]]
             texts = model._decode(values, offsets - offsets[0])
