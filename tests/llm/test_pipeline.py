@@ -79,10 +79,10 @@ def test_stages_on_edge_rows(spark, sf_dir, edge_docs, no_docs):
             assert set(left) <= set(ids)
             if name in ("line_dedup", "best_fit_packing"):
                 assert set(left) == set(ids)
-            if name == "ngram_jaccard":
+            if name == "ngram_jaccard" and docs is edge_docs:
                 # texts without words stay, and so do those that lost all lines
                 assert {4, 5, 6} <= set(left) and left.total() < ids.total()
-            if name == "decontamination":
+            if name == "decontamination" and docs is edge_docs:
                 kept = left
             before = out
         if docs is edge_docs:
